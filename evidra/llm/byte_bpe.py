@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from evidra.llm.common import ship, table
 from evidra.llm.word_tokens import byte_characters
 
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 RUNS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 CACHE_LIMIT = 250_000
 _CODECS: dict[tuple[str, str], "ByteBpe"] = {}

@@ -1,14 +1,22 @@
 """The corpus operators' queries, and SQL where it can express them."""
 
 from evidra.llm.byte_bpe import op5_byte_bpe
+from evidra.llm.language import op3_language_id
 from evidra.llm.matroska import op6_media_columns
 from evidra.llm.packing import op1_best_fit_packing
+from evidra.llm.secrets import op8_secret_scan
 from evidra.llm.token_records import op4_token_records
+from evidra.llm.toxicity import op2_toxicity
+from evidra.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op4_token_records": op4_token_records,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_media_columns": op6_media_columns,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_warc": op9_warc,
 }
-ORACLE_SQL = {}
+ORACLE_SQL = {"op9_warc": OP9_SQL}
