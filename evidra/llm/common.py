@@ -92,13 +92,28 @@ def words_of(column) -> F.Column:
 
 
 def shingles_of(words, size: int) -> F.Column:
-    """Distinct hashes of all runs of `size` words; with fewer words, of the whole sequence; none without words."""
-    def run(i):
-        return F.xxhash64(*[F.get(words, i + k) for k in range(size)])
-
-    long = F.transform(F.sequence(F.lit(0), F.size(words) - size), run)
-    return (
-        F.when(F.size(words) >= size, F.array_distinct(long))
-        .when(F.size(words) > 0, F.array(F.xxhash64(F.concat_ws(" ", words), F.lit("short"))))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
+    """Distinct hashes of all runs of `size` words; with fewer words, of the whole sequence; none without words.
+
+    The words are bound to a lambda variable, else they would be split anew for every run.
+    """
+    def own(w):
+        long = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+        short = F.array(F.xxhash64(F.concat_ws(" ", w), F.lit("short")))
+        return F.when(F.size(w) >= size, F.array_distinct(long)).when(F.size(w) > 0, short).otherwise(F.array().cast("array<bigint>"))
+
+    return F.get(F.transform(F.array(words), own), F.lit(0))
+
+
+def with_columns(docs: DataFrame, added: str, compute) -> DataFrame:
+    """docs with columns that compute(texts: pa.Array) gives from each batch's text; same-named columns of docs go."""
+    ship(docs.sparkSession)
+    names = [x.split()[0] for x in added.split(", ")]
+    docs = docs.drop(*names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
+                yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column("text"))], names=[*batch.schema.names, *names])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{kept}, {added}")

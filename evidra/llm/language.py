@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, table
+from evidra.llm.common import ship, table, with_columns
 
 #: N-grams in a profile, and of a document.
 PROFILE = 300
@@ -112,21 +112,20 @@ class Ranker:
         return self.languages[best], 1.0 - float(away[best]) / (self.size * len(own))
 
 
-def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
-    """Documents (doc_id, text) with lang_pred and score, 1 less the share of the largest possible distance."""
-    ship(docs.sparkSession)
-    kind = dict(docs.dtypes)["doc_id"]
+def judged(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
+    """docs with lang_pred and score, 1 less the share of the largest possible distance, after their columns."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(texts: pa.Array) -> list[pa.Array]:
         ranker = Ranker(profiles, size)
-        for whole in batches:
-            for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
-                found = [ranker.predict(t) for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"]
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+        found = [ranker.predict(t) for t in texts.to_pylist()]
+        return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+
+    return with_columns(docs, "lang_pred string, score double", compute)
+
+
+def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
+    """Documents (doc_id, text) as doc_id, lang_pred and score."""
+    return judged(docs.select("doc_id", "text"), profiles, size).drop("text")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, table
+from evidra.llm.common import ship, table, with_columns
 
 MOST_STRINGS = 64
 MOST_CHARACTERS = 4
@@ -215,21 +215,24 @@ def digest(spans: list[tuple[int, int, int]], rules: tuple[Rule, ...]) -> str:
 
 
 def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
-    """Documents (doc_id, text) with spans, array<struct<kind, start, end>>, and redacted, the text with [SECRET] for them."""
-    ship(docs.sparkSession)
+    """docs with secret_spans, array<struct<kind, start, end>>, and redacted, the text with [SECRET] for them."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    own: list[Scanner] = []
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        if not own:
+            own.append(Scanner(rules))
+        found = own[0].scan(texts)
+        spans = [[{"kind": rules[k].kind, "start": a, "end": b} for a, b, k in s] for s in found]
+        out = [redacted(t, s) if s else t for t, s in zip(texts.to_pylist(), found)]
+        return [pa.array(spans, kind), pa.array(out, pa.string())]
+
+    return with_columns(docs, "secret_spans array<struct<kind:string,start:bigint,end:bigint>>, redacted string", compute)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(rules)
-        for whole in batches:
-            for batch in (whole.slice(i, SEGMENT) for i in range(0, whole.num_rows, SEGMENT)):
-                found = scanner.scan(batch.column("text"))
-                spans = [[{"kind": rules[k].kind, "start": a, "end": b} for a, b, k in s] for s in found]
-                texts = [redacted(t, s) if s else t for t, s in zip(batch.column("text").to_pylist(), found)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind), pa.array(texts, pa.string())], names=[*batch.schema.names, "secret_spans", "redacted"])
 
-    out = f"{', '.join(f'`{n}` {t}' for n, t in docs.select('doc_id', 'text').dtypes)}, secret_spans array<struct<kind:string,start:bigint,end:bigint>>, redacted string"
-    return docs.select("doc_id", "text").mapInArrow(run, out)
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
+    """docs whose text has [SECRET] for each secret."""
+    return scan_documents(docs, rules).withColumn("text", F.col("redacted")).select(*docs.columns)
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:

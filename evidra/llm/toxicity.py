@@ -1,9 +1,10 @@
-"""Toxicity by cumulative-link ordinal regression over sparse word features.
+"""Toxicity by cumulative-link ordinal regression over sparse features: words and beginnings of words.
 
 Grades 0 < 1 < ... share one weight for each word; the chance of a grade of k or more is sigmoid(w.x - threshold_k) with
 thresholds in ascending order. The expected severity is the sum of these chances. It is fitted by full-batch gradient steps
-on a bounded sample of labelled documents (chosen by a hash of doc_id), whose words are first sifted on the executors: a
-word stays if it occurs in several documents and its share among graded ones differs clearly from that among the others.
+on a bounded sample of labelled documents (chosen by a hash of doc_id), whose features are first sifted on the executors: one
+stays if it occurs in several documents and its share among graded ones exceeds that among the others clearly. Where the
+labels only say toxic or not, toxic documents with more of these features than their median are graded 2.
 
 Null text, or text without letters: severity 0, grade 0. Without labels of two grades every severity is 0. Repeated
 doc_ids are scored each for itself; labels of a doc_id repeat: the highest grade counts. Null labels are left out. Columns
@@ -21,16 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, stored, table
+from evidra.llm.common import ship, stored, table, with_columns
 
 #: At most about this many labelled documents are learned from.
 TRAIN_ROWS = 20_000
 #: At most this many words get a weight.
 WORDS = 20_000
-LEAST_DOCUMENTS = 4
-LEAST_Z = 4.0
-STEPS = 400
+LEAST_DOCUMENTS = 6
+LEAST_Z = 6.0
+STEPS = 600
 WORD = re.compile(r"[^\W\d_]+")
+#: Beginnings of words of these lengths are features too, so that inflected and compound forms share weights.
+STEMS = (4, 5, 6)
+
+
+def features(text: str) -> set[str]:
+    words = set(WORD.findall(text.lower()))
+    return words.union(*[{w[:k] + "-" for w in words if len(w) > k} for k in STEMS])
 
 
 @dataclass
@@ -40,7 +48,7 @@ class Model:
 
     def severity(self, text: str | None) -> tuple[float, float, int]:
         """Expected severity, chance of grade 1 or more, and the highest grade that is more likely reached than not."""
-        words = set(WORD.findall((text or "").lower()))
+        words = features(text or "")
         if not words or not self.thresholds:
             return 0.0, 0.0, 0
         score = sum(sorted(self.weights[w] for w in words & self.weights.keys()))
@@ -48,7 +56,7 @@ class Model:
         return float(chance.sum()), float(chance[0]), int((chance >= 0.5).sum())
 
 
-def fit_cumulative(rows: list[np.ndarray], grades: np.ndarray, width: int, steps: int = STEPS, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative(rows: list[np.ndarray], grades: np.ndarray, width: int, steps: int = STEPS, decay: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of the cumulative-link model, by Adam on the mean log-likelihood."""
     k, n = int(grades.max()), len(rows)
     size = np.array([len(r) for r in rows])
@@ -90,7 +98,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [sorted(set(WORD.findall(t.lower()))) for t in batch.column("text").to_pylist()]
+            words = [sorted(features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "grade", "words"])
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -101,7 +109,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     words = sample.select("grade", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"), F.sum((F.col("grade") > 0).cast("long")).alias("df1"))
     share = F.col("df") / n
     z = (F.col("df1") / n1 - (F.col("df") - F.col("df1")) / (n - n1)) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1)) + 1e-12)
-    kept = words.where(F.col("df") >= LEAST_DOCUMENTS).select("word", F.abs(z).alias("z")).where(F.col("z") >= LEAST_Z)
+    kept = words.where(F.col("df") >= LEAST_DOCUMENTS).select("word", z.alias("z")).where(F.col("z") >= LEAST_Z)
     vocabulary = [r["word"] for r in kept.orderBy(F.desc("z"), "word").limit(WORDS).collect()]
     if not vocabulary:
         return Model()
@@ -109,32 +117,35 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     met = sample.select(F.monotonically_increasing_id().alias("row"), "grade", "words")
     hits = met.select("row", F.explode("words").alias("word")).join(F.broadcast(wanted), "word").groupBy("row").agg(F.sort_array(F.collect_list("index")).alias("index"))
     rows = met.select("row", "grade").join(hits, "row", "left").select("grade", "index").collect()  # at most about train_rows short rows
-    features = [np.array(r["index"] or [], np.int64) for r in rows]
-    order = sorted(range(len(rows)), key=lambda i: (rows[i]["grade"], features[i].tolist()))
-    weights, thresholds = fit_cumulative([features[i] for i in order], np.array([rows[i]["grade"] for i in order]), len(vocabulary))
+    met_by = [np.array(r["index"] or [], np.int64) for r in rows]
+    grades = np.array([r["grade"] for r in rows])
+    if grades.max() == 1:  # labels tell toxic or not: those with more than the usual number of features are the severe ones
+        size = np.array([len(m) for m in met_by])
+        grades[(grades == 1) & (size > max(1.0, float(np.median(size[grades == 1]))))] = 2
+    order = sorted(range(len(rows)), key=lambda i: (grades[i], met_by[i].tolist()))
+    weights, thresholds = fit_cumulative([met_by[i] for i in order], grades[order], len(vocabulary))
     return Model(dict(zip(vocabulary, weights.tolist())), thresholds.tolist())
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Documents (doc_id, text) with severity, p_toxic, grade and toxic (p_toxic of one half or more)."""
-    ship(docs.sparkSession)
-    kind = dict(docs.dtypes)["doc_id"]
+def judged(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with severity, p_toxic, grade and toxic (p_toxic of one half or more) after their columns."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.severity(t) for t in batch.column("text").to_pylist()]
-            severity, chance, grade = (list(x) for x in zip(*found)) if found else ([], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array(grade, pa.int32()), pa.array([c >= 0.5 for c in chance], pa.bool_())],
-                names=["doc_id", "severity", "p_toxic", "grade", "toxic"],
-            )
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        found = [model.severity(t) for t in texts.to_pylist()]
+        severity, chance, grade = (list(x) for x in zip(*found)) if found else ([], [], [])
+        return [pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array(grade, pa.int32()), pa.array([c >= 0.5 for c in chance], pa.bool_())]
+
+    return with_columns(docs, "severity double, p_toxic double, grade int, toxic boolean", compute)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, severity double, p_toxic double, grade int, toxic boolean")
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """Documents (doc_id, text) as doc_id, severity, p_toxic, grade and toxic."""
+    return judged(docs.select("doc_id", "text"), model).drop("text")
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """Labels (doc_id, quality, toxic) as grades: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
-    return labels.select("doc_id", F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).alias("grade"))
+    """Labels (doc_id, toxic) as grades 0 and 1."""
+    return labels.select("doc_id", F.col("toxic").alias("grade"))
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> Model:
