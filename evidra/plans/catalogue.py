@@ -1,4 +1,358 @@
-"""Every query of the library by name, and the SQL that gives the same rows."""
+"""Every query of the library by name, bound to the driver's tables, and the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evidra.functions.text import clean, without_citations
+from evidra.operators import audit as V
+from evidra.operators import closure as C
+from evidra.operators import graph as G
+from evidra.operators import lookup as L
+from evidra.operators import merge as M
 
 QUERIES = {}
 ORACLE_SQL = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+PEPTIDE = "upper(replace(p_name, ' ', ''))"
+VH = f"""(SELECT l_suppkey AS a, c_nationkey AS b_nation, c_mktsegment AS b_name, l_orderkey AS publication, p_brand AS method, {PEPTIDE} AS peptide
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey)"""
+S = "(SELECT DISTINCT l_orderkey AS publication, l_suppkey AS s FROM lineitem)"
+HH = f"(SELECT x.publication, x.s AS a, y.s AS b FROM {S} x JOIN {S} y ON x.publication = y.publication AND x.s <= y.s)"
+HH_PAIRS = f"(SELECT a, b, count(*) AS n_descriptions, count(DISTINCT publication) AS n_publications FROM {HH} GROUP BY a, b)"
+HH_BOTH = f"(SELECT a AS protein, b AS partner, n_publications FROM {HH_PAIRS} WHERE a <> b UNION ALL SELECT b, a, n_publications FROM {HH_PAIRS} WHERE a <> b)"
+EDGES = """(SELECT p_partkey AS child, p_partkey // 2 AS parent, 'IS_A' AS relation FROM part WHERE p_partkey > 0
+  UNION ALL SELECT p_partkey, p_partkey // 3, 'PART_OF' FROM part WHERE p_partkey > 0)"""
+SEEDS = "(SELECT DISTINCT p_partkey AS id FROM part WHERE p_size = 1 AND p_partkey % 7 = 0)"
+CLOSURE = f"r AS (SELECT id FROM {SEEDS} UNION SELECT e.parent FROM r JOIN {EDGES} e ON e.child = r.id)"
+
+
+def vh_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with their order, customer and part: supplier, (nation, segment), publication, method, peptide."""
+    rows = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return rows.selectExpr("l_suppkey AS a", "c_nationkey AS b_nation", "c_mktsegment AS b_name", "l_orderkey AS publication", "p_brand AS method", f"{PEPTIDE} AS peptide")
+
+
+def hh_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Unordered pairs of suppliers of one order, a supplier with itself included; an order has few of them."""
+    s = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("publication"), F.col("l_suppkey").alias("s")).distinct()
+    return s.withColumnRenamed("s", "a").join(s.withColumnRenamed("s", "b"), "publication").where("a <= b").select("publication", "a", "b")
+
+
+def hh_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return G.pair_counters(hh_observations(spark, d), ["a", "b"])
+
+
+def edges(spark: SparkSession, d: str) -> DataFrame:
+    part = t(spark, d, "part").where("p_partkey > 0")
+    return part.selectExpr("p_partkey AS child", "p_partkey div 2 AS parent", "'IS_A' AS relation").unionByName(part.selectExpr("p_partkey AS child", "p_partkey div 3 AS parent", "'PART_OF' AS relation"))
+
+
+def seeds(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "part").where("p_size = 1 AND p_partkey % 7 = 0").selectExpr("p_partkey AS id")
+
+
+@query(f"SELECT a, b_nation, b_name, count(*) AS n_descriptions, count(DISTINCT publication) AS n_publications, count(DISTINCT method) AS n_methods, count(DISTINCT peptide) AS n_peptides FROM {VH} GROUP BY ALL")
+def pair_counters_vh(spark, d):
+    return G.pair_counters(vh_observations(spark, d), ["a", "b_nation", "b_name"])
+
+
+@query(f"SELECT * FROM {HH_PAIRS}")
+def pair_counters_hh(spark, d):
+    return hh_pairs(spark, d)
+
+
+@query(f"SELECT protein, partner, n_publications, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY protein ORDER BY n_publications DESC, partner) AS rank FROM {HH_BOTH}) WHERE rank <= 5")
+def top_partners(spark, d):
+    return G.top_partners(hh_pairs(spark, d), "n_publications", 5).select("protein", "partner", "n_publications", "rank")
+
+
+@query(f"SELECT protein, partner, n_publications FROM {HH_BOTH} WHERE protein % 10 = 3 AND n_publications >= 2")
+def partners_above(spark, d):
+    return G.both_ways(hh_pairs(spark, d)).where("protein <> partner AND protein % 10 = 3 AND n_publications >= 2").select("protein", "partner", "n_publications")
+
+
+@query("""WITH x AS (SELECT l_orderkey AS publication, l_suppkey AS a, l_partkey AS b, p_brand AS method, l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT publication, a, b, method, 'curated' AS source FROM x WHERE l_returnflag = 'R' UNION ALL
+SELECT DISTINCT publication, a, b, method, 'archive' FROM x WHERE l_returnflag <> 'R' AND publication NOT IN (SELECT publication FROM x WHERE l_returnflag = 'R')""")
+def source_precedence(spark, d):
+    x = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    x = x.selectExpr("l_orderkey AS publication", "l_suppkey AS a", "l_partkey AS b", "p_brand AS method", "l_returnflag")
+    return M.precedence(x.where("l_returnflag = 'R'"), x.where("l_returnflag <> 'R'"), "publication", ["publication", "a", "b", "method"])
+
+
+GROUPED = """(SELECT DISTINCT l_suppkey AS a, p_brand AS b, CASE WHEN o_custkey % 50 < 10 THEN o_custkey % 50 END AS grp, l_orderkey AS publication
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+
+@query(f"SELECT a, b, grp, publication FROM (SELECT *, min(publication) OVER (PARTITION BY a, b, grp) AS low FROM {GROUPED}) WHERE grp IS NULL OR publication = low")
+def first_of_group(spark, d):
+    x = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    x = x.selectExpr("l_suppkey AS a", "p_brand AS b", "CASE WHEN o_custkey % 50 < 10 THEN o_custkey % 50 END AS grp", "l_orderkey AS publication").distinct()
+    return M.first_of_group(x, ["a", "b"], "grp", "publication")
+
+
+REASONS = [("malformed", "l_quantity < 3"), ("negative", "l_discount >= 0.09"), ("not of the host", "l_suppkey % 7 = 0"), ("method not kept", "p_brand LIKE '%5'"), ("open", "o_orderstatus = 'P'")]
+
+
+@query("SELECT drop_reason, count(*) AS n FROM (SELECT CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in REASONS) + " ELSE 'kept' END AS drop_reason FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) GROUP BY 1")
+def drop_reasons(spark, d):
+    x = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    reason = M.first_reason([(n, F.expr(c)) for n, c in REASONS])
+    return x.select(F.coalesce(reason, F.lit("kept")).alias("drop_reason")).groupBy("drop_reason").agg(F.count("*").alias("n"))
+
+
+@query("""WITH c AS (SELECT l_suppkey, l_partkey, l_returnflag, l_orderkey, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS codes FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_partkey, l_returnflag, count(*) AS n_publications, string_agg(l_orderkey::VARCHAR || ':' || codes, ';' ORDER BY l_orderkey) AS evidence FROM c GROUP BY ALL""")
+def annotation_codes(spark, d):
+    return G.annotation_codes(t(spark, d, "lineitem"), ["l_suppkey", "l_partkey", "l_returnflag"], "l_orderkey", "l_linestatus")
+
+
+@query("""WITH c AS (SELECT DISTINCT l_orderkey AS pmid FROM lineitem),
+s AS (SELECT o_orderkey AS pmid, 'host ' || o_orderpriority AS title, 0 AS silo FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'viral ' || o_orderstatus, 1 FROM orders WHERE o_orderkey % 2 = 0)
+SELECT c.pmid, f.title, CAST(f.silo AS INTEGER) AS silo FROM c LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY silo) AS n FROM s) WHERE n = 1) f USING (pmid)""")
+def publications_by_rank(spark, d):
+    o = t(spark, d, "orders")
+    silos = [o.where("o_orderkey % 3 = 0").selectExpr("o_orderkey AS pmid", "'host ' || o_orderpriority AS title"), o.where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS pmid", "'viral ' || o_orderstatus AS title")]
+    return M.by_rank(t(spark, d, "lineitem").selectExpr("l_orderkey AS pmid").distinct(), silos, "pmid")
+
+
+@query("""SELECT coalesce(w.pmid, k.pmid) AS pmid, CASE WHEN w.pmid IS NULL THEN 'dropped' WHEN k.pmid IS NULL THEN 'fetch' ELSE 'cached' END AS status
+FROM (SELECT DISTINCT l_orderkey AS pmid FROM lineitem WHERE l_returnflag = 'A') w FULL JOIN (SELECT DISTINCT o_orderkey AS pmid FROM orders WHERE o_orderkey % 2 = 0) k ON w.pmid = k.pmid""")
+def delta_worklist(spark, d):
+    return M.worklist(t(spark, d, "lineitem").where("l_returnflag = 'A'").selectExpr("l_orderkey AS pmid"), t(spark, d, "orders").where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS pmid"), "pmid")
+
+
+@query(f"WITH RECURSIVE {CLOSURE} SELECT id FROM r")
+def ancestor_closure(spark, d):
+    return C.ancestors(seeds(spark, d), edges(spark, d))
+
+
+@query(f"WITH RECURSIVE {CLOSURE} SELECT child, parent, relation FROM {EDGES} WHERE child IN (SELECT id FROM r)")
+def closure_edges(spark, d):
+    return C.walked_edges(C.ancestors(seeds(spark, d), edges(spark, d)), edges(spark, d)).select("child", "parent", "relation")
+
+
+DOWN = f"b AS (SELECT 5::BIGINT AS id UNION SELECT e.child FROM b JOIN {EDGES} e ON e.parent = b.id)"
+
+
+@query(f"WITH RECURSIVE {DOWN} SELECT id, min(reason) AS reason FROM (SELECT id, 'under binding' AS reason FROM b UNION ALL SELECT p_partkey, 'component' FROM part WHERE p_partkey % 3 = 2) GROUP BY id")
+def excluded_terms(spark, d):
+    below = C.descendants(spark.range(5, 6), edges(spark, d))
+    return C.excluded([("under binding", below), ("component", t(spark, d, "part").where("p_partkey % 3 = 2").selectExpr("p_partkey AS id"))])
+
+
+@query("SELECT p_partkey AS id, p_partkey - p_partkey % 8 AS resolved FROM part WHERE p_partkey % 16 <> 9 UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 16 = 9")
+def merge_resolve(spark, d):
+    """Ids of 16k + 9 point to themselves in a cycle and so don't resolve; 16k + 10 and on merge past them."""
+    part = t(spark, d, "part").selectExpr("p_partkey AS id")
+    merged = part.where("id % 8 <> 0").selectExpr("id AS old_id", "CASE WHEN id % 16 = 9 THEN id WHEN id % 16 = 10 THEN id - 2 ELSE id - 1 END AS new_id")
+    return C.resolve_merges(part, merged, part.where("id % 8 = 0"))
+
+
+TREE = "(SELECT p_partkey // 8 AS id, p_partkey // 16 AS parent FROM part WHERE p_partkey % 8 = 0)"
+LINES = f"l AS (SELECT id, id AS ancestor, 0 AS depth FROM {TREE} UNION ALL SELECT l.id, p.parent, depth + 1 FROM l JOIN {TREE} p ON p.id = l.ancestor AND p.id <> p.parent)"
+
+
+def tree(spark, d):
+    return t(spark, d, "part").where("p_partkey % 8 = 0").selectExpr("p_partkey div 8 AS id", "p_partkey div 16 AS parent")
+
+
+@query(f"WITH RECURSIVE {LINES} SELECT id, ancestor, CAST(depth AS INTEGER) AS depth FROM l")
+def lineage(spark, d):
+    return C.lineage(tree(spark, d), tree(spark, d))
+
+
+@query(f"WITH RECURSIVE {LINES} SELECT id, arg_min(ancestor, depth) AS nearest FROM l WHERE ancestor BETWEEN 8 AND 15 GROUP BY id")
+def nearest_family(spark, d):
+    return C.nearest_of_rank(C.lineage(tree(spark, d), tree(spark, d)), tree(spark, d).where("id BETWEEN 8 AND 15"))
+
+
+@query(f"WITH RECURSIVE {DOWN} SELECT l_suppkey AS protein, count(DISTINCT l_partkey) AS n_terms FROM lineitem WHERE l_partkey IN (SELECT id FROM b) AND l_returnflag <> 'N' GROUP BY 1")
+def under_term(spark, d):
+    below = C.descendants(spark.range(5, 6), edges(spark, d)).withColumnRenamed("id", "l_partkey")
+    rows = t(spark, d, "lineitem").where("l_returnflag <> 'N'").join(below, "l_partkey", "left_semi")
+    return rows.groupBy(F.col("l_suppkey").alias("protein")).agg(F.countDistinct("l_partkey").alias("n_terms"))
+
+
+SPANS = "(SELECT DISTINCT l_orderkey AS entry, CAST(1 + 100 * (l_linenumber % 3) + l_quantity % 50 AS BIGINT) AS start FROM lineitem)"
+CHAINS = "(SELECT o_orderkey AS entry, j AS c, 1 + 100 * j AS c_start, 100 + 100 * j AS c_stop FROM orders, (SELECT unnest([0, 1, 2]) AS j) WHERE o_orderkey % 3 <> 0)"
+
+
+@query(f"""WITH s AS (SELECT entry, start, start + 99 AS stop FROM {SPANS}),
+m AS (SELECT s.*, c, CASE WHEN c IS NOT NULL THEN (least(stop, c_stop) - greatest(start, c_start) + 1)::DOUBLE / (greatest(stop, c_stop) - least(start, c_start) + 1) END AS score
+  FROM s LEFT JOIN {CHAINS} k ON s.entry = k.entry AND c_start <= stop AND c_stop >= start),
+g AS (SELECT entry, start, stop, max(score) AS best, arg_max(c, (score, -c)) AS chain, string_agg(c::VARCHAR, ',' ORDER BY c) AS over FROM m GROUP BY ALL),
+n AS (SELECT entry, count(*) AS n FROM s GROUP BY 1),
+k AS (SELECT *, CASE WHEN best >= 0.8 THEN 'best' WHEN n = 1 AND entry % 2 = 0 THEN 'entry' WHEN over IS NOT NULL THEN 'overlaps' ELSE 'nothing' END AS kind FROM g JOIN n USING (entry))
+SELECT entry, start, stop, kind, CASE kind WHEN 'best' THEN chain::VARCHAR WHEN 'overlaps' THEN over ELSE '' END AS chains FROM k""")
+def interval_best_match(spark, d):
+    spans = t(spark, d, "lineitem").selectExpr("l_orderkey AS entry", "CAST(1 + 100 * (l_linenumber % 3) + l_quantity % 50 AS BIGINT) AS start").distinct().withColumn("stop", F.col("start") + 99)
+    o = t(spark, d, "orders")
+    chains = o.where("o_orderkey % 3 <> 0").selectExpr("o_orderkey AS entry", "explode(array(0, 1, 2)) AS c").selectExpr("entry", "c", "1 + 100 * c AS c_start", "100 + 100 * c AS c_stop")
+    return M.interval_best_match(spans, chains, o.where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS entry").distinct())
+
+
+@query("""SELECT c.cutoff, max(r.release) AS release FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS cutoff FROM lineitem) c
+LEFT JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS release FROM orders WHERE o_orderkey % 100 = 0) r ON r.release <= c.cutoff GROUP BY 1""")
+def asof_release(spark, d):
+    cutoffs = t(spark, d, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS cutoff").distinct()
+    return M.as_of(cutoffs, t(spark, d, "orders").where("o_orderkey % 100 = 0").selectExpr("CAST(o_orderdate AS DATE) AS release"))
+
+
+STRONG = f"(SELECT protein, partner FROM {HH_BOTH} WHERE n_publications >= 25)"
+
+
+@query(f"SELECT x.protein, y.partner AS target, count(*) AS n_paths FROM {STRONG} x JOIN {STRONG} y ON x.partner = y.protein WHERE x.protein < 5 AND x.protein <> y.partner GROUP BY 1, 2")
+def two_hop(spark, d):
+    strong = hh_pairs(spark, d).where("n_publications >= 25")
+    return G.two_hop(strong, t(spark, d, "supplier").where("s_suppkey < 5").selectExpr("s_suppkey AS protein"))
+
+
+@query("""SELECT n_name AS virus, c_mktsegment AS protein, l_suppkey AS human, count(*) AS n_descriptions, count(DISTINCT l_orderkey) AS n_publications
+FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE n_name LIKE '%A%' AND n_nationkey < 10 GROUP BY ALL""")
+def virus_drilldown(spark, d):
+    rows = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.join(t(spark, d, "nation").where("n_name LIKE '%A%' AND n_nationkey < 10"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.groupBy(F.col("n_name").alias("virus"), F.col("c_mktsegment").alias("protein"), F.col("l_suppkey").alias("human")).agg(F.count("*").alias("n_descriptions"), F.countDistinct("l_orderkey").alias("n_publications"))
+
+
+@query(f"SELECT r_name AS family, count(DISTINCT (a, b_nation, b_name)) AS n_interactions, count(DISTINCT a) AS n_hosts FROM {VH} JOIN nation ON b_nation = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE a % 3 = 1 GROUP BY 1")
+def family_rollup(spark, d):
+    rows = vh_observations(spark, d).where("a % 3 = 1").select("a", "b_nation", "b_name").distinct()
+    rows = rows.join(F.broadcast(t(spark, d, "nation")), F.col("b_nation") == F.col("n_nationkey")).join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.groupBy(F.col("r_name").alias("family")).agg(F.count("*").alias("n_interactions"), F.countDistinct("a").alias("n_hosts"))
+
+
+@query(f"SELECT DISTINCT peptide, a AS source, b_nation, b_name FROM {VH} WHERE b_name = 'BUILDING' AND b_nation = 3")
+def peptide_from_binds(spark, d):
+    return vh_observations(spark, d).where("b_name = 'BUILDING' AND b_nation = 3").selectExpr("peptide", "a AS source", "b_nation", "b_name").distinct()
+
+
+@query("""SELECT publication, kind, count(*) AS n FROM (
+SELECT l_orderkey AS publication, 'description' AS kind FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT l_orderkey, 'annotation' FROM lineitem WHERE l_linestatus = 'F' UNION ALL SELECT o_orderkey, 'function text' FROM orders WHERE o_orderkey % 5 = 0) GROUP BY ALL""")
+def publication_backs(spark, d):
+    x = t(spark, d, "lineitem")
+    rows = x.where("l_returnflag = 'R'").selectExpr("l_orderkey AS publication", "'description' AS kind").unionByName(x.where("l_linestatus = 'F'").selectExpr("l_orderkey AS publication", "'annotation' AS kind"))
+    rows = rows.unionByName(t(spark, d, "orders").where("o_orderkey % 5 = 0").selectExpr("o_orderkey AS publication", "'function text' AS kind"))
+    return rows.groupBy("publication", "kind").agg(F.count("*").alias("n"))
+
+
+def checks(spark, d) -> list[V.Check]:
+    line, orders, customer, part, supplier = (t(spark, d, x) for x in ("lineitem", "orders", "customer", "part", "supplier"))
+    obs = vh_observations(spark, d)
+    pairs = G.pair_counters(obs, ["a", "b_nation", "b_name"])
+    order_key = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    recount = obs.groupBy("a", "b_nation", "b_name").agg(F.count("*").alias("n_descriptions"), F.countDistinct("peptide").alias("n_peptides"))
+    return [
+        V.Check("V0", "unique supplier", V.repeated(supplier, ["s_suppkey"])),
+        V.Check("V0", "unique order line", V.repeated(line, ["l_orderkey", "l_linenumber"])),
+        V.Check("S2", "order complete", V.incomplete(orders, ["o_orderkey", "o_custkey", "o_orderdate"])),
+        V.Check("S3", "one sub-label", V.overlapping(line.where("l_returnflag = 'R'"), line.where("l_returnflag <> 'R'"), ["l_orderkey"])),
+        V.Check("S4", "line's order exists", V.dangling(line, ["l_orderkey"], orders, ["o_orderkey"])),
+        V.Check("S4", "order's customer exists", V.dangling(orders, ["o_custkey"], customer, ["c_custkey"])),
+        V.Check("I1", "one interaction a pair", V.repeated(pairs, ["a", "b_nation", "b_name"])),
+        V.Check("I4", "counters equal a recount", V.differing(pairs, recount, ["a", "b_nation", "b_name"], ["n_descriptions", "n_peptides"])),
+        V.Check("I2", "order has 1 to 6 lines", V.wrong_degree(order_key, ["l_orderkey"], line, 1, 6)),
+        V.Check("D3", "brand's form", part.where(~F.col("p_brand").rlike("^Brand#[1-5][1-5]$"))),
+        V.Check("P1", "peptide length", part.where(f"length({PEPTIDE}) NOT BETWEEN 5 AND 20")),
+        V.Check("B1", "order is cited", V.childless(orders, ["o_orderkey"], line, ["l_orderkey"])),
+    ]
+
+
+@query(f"""SELECT 'V0' AS invariant, 'unique supplier' AS name, count(*) AS n_broken FROM (SELECT 1 FROM supplier GROUP BY s_suppkey HAVING count(*) > 1) UNION ALL
+SELECT 'V0', 'unique order line', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL
+SELECT 'S2', 'order complete', count(*) FROM orders WHERE o_orderkey IS NULL OR o_custkey IS NULL OR o_orderdate IS NULL UNION ALL
+SELECT 'S3', 'one sub-label', count(DISTINCT l_orderkey) FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'R') UNION ALL
+SELECT 'S4', 'line''s order exists', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL
+SELECT 'S4', 'order''s customer exists', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL
+SELECT 'I1', 'one interaction a pair', 0 UNION ALL SELECT 'I4', 'counters equal a recount', 0 UNION ALL
+SELECT 'I2', 'order has 1 to 6 lines', count(*) FROM (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1) WHERE n NOT BETWEEN 1 AND 6 UNION ALL
+SELECT 'D3', 'brand''s form', count(*) FROM part WHERE NOT regexp_matches(p_brand, '^Brand#[1-5][1-5]$') UNION ALL
+SELECT 'P1', 'peptide length', count(*) FROM part WHERE length({PEPTIDE}) NOT BETWEEN 5 AND 20 UNION ALL
+SELECT 'B1', 'order is cited', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def audit_report(spark, d):
+    return V.tally(checks(spark, d))
+
+
+@query("""SELECT k.key AS requested, CASE WHEN s.s_suppkey IS NOT NULL THEN 'known' WHEN n.s_suppkey IS NOT NULL THEN 'name' ELSE 'unknown' END AS status, n.s_suppkey AS hint
+FROM (SELECT DISTINCT CASE WHEN l_suppkey % 3 = 0 THEN s_name WHEN l_suppkey % 3 = 1 THEN l_suppkey::VARCHAR ELSE (l_suppkey + 1000000)::VARCHAR END AS key FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) k
+LEFT JOIN supplier s ON s.s_suppkey::VARCHAR = k.key LEFT JOIN supplier n ON n.s_name = k.key""")
+def key_check(spark, d):
+    s = t(spark, d, "supplier")
+    keys = t(spark, d, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey")).selectExpr("CASE WHEN l_suppkey % 3 = 0 THEN s_name WHEN l_suppkey % 3 = 1 THEN CAST(l_suppkey AS STRING) ELSE CAST(l_suppkey + 1000000 AS STRING) END AS requested").distinct()
+    return L.key_check(keys, s.selectExpr("CAST(s_suppkey AS STRING) AS key", "s_name AS name", "s_suppkey AS id"))
+
+
+@query("""WITH q AS (SELECT DISTINCT p_brand AS taxon, lower(p_type) || 's' AS asked FROM part WHERE p_partkey % 50 = 0), n AS (SELECT DISTINCT p_brand AS taxon, p_type AS name FROM part),
+s AS (SELECT q.taxon, asked, name, round(1 - levenshtein(asked, lower(name))::DOUBLE / greatest(length(asked), length(name)), 6) AS similarity FROM q JOIN n USING (taxon)),
+r AS (SELECT *, row_number() OVER (PARTITION BY taxon, asked ORDER BY similarity DESC, name) AS rank FROM s WHERE similarity >= 0.6)
+SELECT taxon, asked, name, similarity, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
+def near_names(spark, d):
+    p = t(spark, d, "part")
+    asked = p.where("p_partkey % 50 = 0").selectExpr("p_brand AS taxon", "lower(p_type) || 's' AS asked").distinct()
+    return L.near_names(asked, p.selectExpr("p_brand AS taxon", "p_type AS name").distinct(), "taxon")
+
+
+@query("SELECT c_nationkey AS ncbi_taxon_id, c_mktsegment AS name, c_custkey AS accession, n_name AS strain, length(c_name) AS length FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'MACHINERY'")
+def site_lookup(spark, d):
+    wanted = t(spark, d, "nation").selectExpr("n_nationkey AS ncbi_taxon_id", "'MACHINERY' AS name").distinct()
+    mature = t(spark, d, "customer").selectExpr("c_nationkey AS ncbi_taxon_id", "c_mktsegment AS name", "c_custkey AS accession", "length(c_name) AS length")
+    entry = t(spark, d, "customer").join(F.broadcast(t(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr("c_custkey AS accession", "n_name AS strain")
+    return L.sites(wanted, mature, entry).select("ncbi_taxon_id", "name", "accession", "strain", "length")
+
+
+@query("SELECT o_orderkey AS stable_id, c_custkey AS accession, c_name AS description FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 10 = 0")
+def observed_lookup(spark, d):
+    o = t(spark, d, "orders").where("o_orderkey % 10 = 0").selectExpr("o_orderkey AS stable_id", "o_custkey AS accession")
+    return L.observed(o.select("stable_id"), o, t(spark, d, "customer").selectExpr("c_custkey AS accession", "c_name AS description"))
+
+
+TERMS = ["the", "und", "que", "licensed"]
+
+
+@query("""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE term IN ('the', 'und', 'que', 'licensed') GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), n AS (SELECT count(*) AS n FROM documents)
+SELECT doc_id, round(sum((1 + ln(tf)) * ln(1 + n / df)), 6) AS score FROM tf JOIN df USING (term), n GROUP BY doc_id""")
+def text_search(spark, d):
+    return L.text_search(t(spark, d, "documents").select("doc_id", "text"), TERMS)
+
+
+@query(r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '\s*\((?:PubMed|Ref\.)[^()]*\)', '', 'g'), '[\s\x1c-\x1f]+', ' ', 'g'))) AS digest FROM documents")
+def text_clean(spark, d):
+    return t(spark, d, "documents").select("doc_id", F.md5(F.encode(without_citations(F.col("text")), "UTF-8")).alias("digest"))
+
+
+@query("SELECT page_id, length(trim(regexp_replace(html, '[\\s\\x1c-\\x1f]+', ' ', 'g'))) AS length FROM pages")
+def page_clean(spark, d):
+    return t(spark, d, "pages").select("page_id", F.length(clean(F.col("html"))).cast("long").alias("length"))
+
+
+SUMMARY = {"Protein": "supplier", "Publication": "orders", "Description": "lineitem", "Peptide": "part", "Virus": "nation", "Family": "region", "Viral protein": "customer"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS label, count(*) AS n FROM {v}" for k, v in SUMMARY.items()))
+def graph_summary(spark, d):
+    parts = [t(spark, d, v).agg(F.count("*").alias("n")).select(F.lit(k).alias("label"), "n") for k, v in SUMMARY.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
