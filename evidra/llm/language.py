@@ -70,7 +70,8 @@ def learn(docs: DataFrame, size: int = PROFILE, per_language: int = SAMPLE_PER_L
     known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     share = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
+    # a row a language, as the profiles are that come to the driver below: the texts don't move
+    sample = known.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, dict[int, int]] = {}
