@@ -6,6 +6,10 @@ books. With the norm of each sum stored, the squared distance to a query is, up
 entries of the query's lookup table. Blocks of coded vectors meet blocks of queries; the best of each block go on, and the
 exact distances of the best of all decide, in double precision and in the order of the components.
 
+Equal vectors form a class that is coded once, under its smallest vec_id: they are equally far from any query, so they can't
+crowd out others, and the shortlisted classes give their rows back before the exact distances. Of a class only the k + 1
+smallest vec_ids can be among the k nearest of any query, ties going to the smaller vec_id, so these are all that it keeps.
+
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part. Repeated
 vec_ids are rows of their own, and a query leaves out every row of its own vec_id. Ties go to the smaller vec_id. With
 fewer candidates than asked for, all are returned. An empty table gives no rows; other columns are ignored.
@@ -25,7 +29,7 @@ from evidra.llm.common import ship, stored, table
 BOOKS, WORDS, BEAM = 16, 256, 8
 #: At most about this many vectors, chosen by a hash of vec_id, train the codebooks.
 TRAIN_ROWS = 16_384
-#: Rows of a block of coded vectors and of a block of queries; candidates of a query that are reranked.
+#: Rows of a block of coded vectors and of a block of queries; classes of equal vectors that are reranked for a query.
 VECTORS, QUERIES, RERANK = 8192, 256, 400
 
 
@@ -40,6 +44,15 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embeddi
     return rows.where(F.size("v") == dim), dim
 
 
+def classed(rows: DataFrame, k: int) -> DataFrame:
+    """Rows (id, v) with `class`, the smallest id of their equal vectors, and whether a row speaks for its class; of each class
+    those of its k + 1 smallest ids. The filter on a rank goes before the shuffle too, so a vector that many rows share arrives
+    as a few rows a task."""
+    same = Window.partitionBy("v").orderBy("id")
+    few = rows.withColumn("place", F.dense_rank().over(same)).where(F.col("place") <= k + 1)
+    return few.withColumns({"class": F.first("id").over(same), "speaks": F.row_number().over(same) == 1}).drop("place")
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
     centre = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
@@ -123,7 +136,7 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 
 
 def shortlist(coded: DataFrame, queries: DataFrame, books: np.ndarray, most: int) -> DataFrame:
-    """For each query the candidates of least estimated distance; the query set meets all coded vectors block by block."""
+    """For each query the classes of least estimated distance; the query set meets all coded vectors block by block."""
     m, k, dim = books.shape
     flat = books.reshape(m * k, dim)
 
@@ -134,21 +147,20 @@ def shortlist(coded: DataFrame, queries: DataFrame, books: np.ndarray, most: int
                 codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), m).astype(np.int64) + k * np.arange(m)
                 norms = np.frombuffer(row["norms"], "<f4")
                 lookup = np.frombuffer(row["queries"], "<f4").reshape(len(qid), dim) @ flat.T
-                keep = min(most + 1, len(ids))
+                keep = min(most, len(ids))
                 q, v, s = [], [], []
                 for i in range(len(qid)):
                     estimate = norms - 2 * lookup[i][codes].sum(axis=1)
                     best = np.argpartition(estimate, keep - 1)[:keep]
-                    best = best[ids[best] != qid[i]]
                     q.append(np.full(len(best), qid[i]))
                     v.append(ids[best])
                     s.append(estimate[best])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q, v)] + [pa.array(np.concatenate(s).astype(np.float64))], names=["query_id", "vec_id", "estimate"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q, v)] + [pa.array(np.concatenate(s).astype(np.float64))], names=["query_id", "class", "estimate"])
 
     blocks = coded.crossJoin(queries).repartition(F.xxhash64("ids", "query_ids"))
-    found = blocks.mapInArrow(run, "query_id long, vec_id long, estimate double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("estimate", "vec_id"))
-    return found.withColumn("place", rank).where(F.col("place") <= most).select("query_id", "vec_id").distinct()
+    found = blocks.mapInArrow(run, "query_id long, class long, estimate double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("estimate", "class"))
+    return found.withColumn("place", rank).where(F.col("place") <= most).select("query_id", "class").distinct()
 
 
 def nearest(vectors: DataFrame, is_query: F.Column, k: int = 10, rerank: int = RERANK) -> DataFrame:
@@ -160,9 +172,11 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 10, rerank: int = R
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     chosen = usable(vectors.where(is_query))[0]
-    coded = stored(index(rows, books), "codes")
-    pairs = shortlist(coded, query_blocks(chosen), books, rerank)
-    exact = pairs.join(rows.select(F.col("id").alias("vec_id"), "v"), "vec_id").join(chosen.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
+    members = stored(classed(rows, k), "vector-classes")
+    coded = stored(index(members.where("speaks").select("id", "v"), books), "codes")
+    pairs = shortlist(coded, query_blocks(chosen), books, max(rerank, k + 1))
+    exact = pairs.join(members.select("class", F.col("id").alias("vec_id"), "v"), "class").where("query_id <> vec_id")
+    exact = exact.join(chosen.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
     score = F.sqrt(F.aggregate(F.zip_with("v", "q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
     scored = exact.select("query_id", "vec_id", score.alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))

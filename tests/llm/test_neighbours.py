@@ -27,3 +27,17 @@ def test_odd_vectors(spark):
     got = [(r.query_id, r.rank, r.vec_id) for r in A.nearest(v.where("vec_id <> 100 OR embedding[0] = 1"), F.col("vec_id") % 100 == 0).collect()]
     assert sorted(got) == [(100, 1, 1), (100, 2, 6)]
     assert A.nearest(v.limit(0), F.lit(True)).count() == 0
+
+
+def test_copies_crowd_nothing_out(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 8))
+    rows = [(k, x[k].tolist()) for k in range(40)] + [(k, x[0].tolist()) for k in range(100, 3100)] + [(150, x[0].tolist()), (7, x[0].tolist())]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    got: dict[int, list] = {}
+    for r in A.nearest(v, F.col("vec_id").isin(0, 39, 3000), rerank=12).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    ids, at = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for q, own in ((0, x[0]), (39, x[39]), (3000, x[0])):
+        order = np.lexsort((ids, np.sqrt(((at - own) ** 2).sum(1))))
+        assert got[q] == [i for i in ids[order].tolist() if i != q][:10], q
