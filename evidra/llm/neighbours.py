@@ -31,6 +31,8 @@ BOOKS, WORDS, BEAM = 16, 256, 8
 TRAIN_ROWS = 16_384
 #: Rows of a block of coded vectors and of a block of queries; classes of equal vectors that are reranked for a query.
 VECTORS, QUERIES, RERANK = 8192, 256, 400
+#: About as many coded vectors as one task compares with a block of queries.
+CHUNK = 1 << 22
 
 
 def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> tuple[DataFrame, int]:
@@ -136,29 +138,45 @@ def query_blocks(queries: DataFrame) -> DataFrame:
 
 
 def shortlist(coded: DataFrame, queries: DataFrame, books: np.ndarray, most: int) -> DataFrame:
-    """For each query the classes of least estimated distance; the query set meets all coded vectors block by block."""
+    """For each query the classes of least estimated distance. The query set meets all coded vectors block by block; a task
+    goes through the blocks of one chunk and keeps the best of each query, so rows out don't grow with the number of blocks."""
     m, k, dim = books.shape
     flat = books.reshape(m * k, dim)
+    names = ["query_id", "class", "estimate"]
+
+    def best_of(ids: np.ndarray, estimates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if estimates.shape[1] <= most:
+            return ids, estimates
+        at = np.argpartition(estimates, most - 1, axis=1)[:, :most]
+        return np.take_along_axis(ids, at, 1), np.take_along_axis(estimates, at, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, qid, ids, estimates = None, None, None, None
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, ids.shape[1])), pa.array(ids.ravel()), pa.array(estimates.ravel().astype(np.float64))], names=names)
+
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, qid = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
-                codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), m).astype(np.int64) + k * np.arange(m)
-                norms = np.frombuffer(row["norms"], "<f4")
-                lookup = np.frombuffer(row["queries"], "<f4").reshape(len(qid), dim) @ flat.T
-                keep = min(most, len(ids))
-                q, v, s = [], [], []
-                for i in range(len(qid)):
-                    estimate = norms - 2 * lookup[i][codes].sum(axis=1)
-                    best = np.argpartition(estimate, keep - 1)[:keep]
-                    q.append(np.full(len(best), qid[i]))
-                    v.append(ids[best])
-                    s.append(estimate[best])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q, v)] + [pa.array(np.concatenate(s).astype(np.float64))], names=["query_id", "class", "estimate"])
-
-    blocks = coded.crossJoin(queries).repartition(F.xxhash64("ids", "query_ids"))
-    found = blocks.mapInArrow(run, "query_id long, class long, estimate double")
+            for at in range(batch.num_rows):
+                row = {c: batch.column(c)[at].as_py() for c in ("ids", "codes", "norms", "query_ids", "queries")}
+                if row["query_ids"] != held:
+                    if held is not None:
+                        yield packed()
+                    held, qid = row["query_ids"], np.frombuffer(row["query_ids"], "<i8")
+                    lookup = np.frombuffer(row["queries"], "<f4").reshape(len(qid), dim) @ flat.T
+                    ids, estimates = np.zeros((len(qid), 0), np.int64), np.zeros((len(qid), 0), np.float32)
+                own, norms = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["norms"], "<f4")
+                codes = np.frombuffer(row["codes"], np.uint8).reshape(len(own), m).astype(np.int64) + k * np.arange(m)
+                met = [best_of(own[None], (norms - 2 * table_[codes].sum(axis=1))[None]) for table_ in lookup]
+                new_ids, new = (np.concatenate([x[k_] for x in met]) for k_ in (0, 1))
+                ids, estimates = best_of(np.concatenate([ids, new_ids], axis=1), np.concatenate([estimates, new], axis=1))
+        if held is not None:
+            yield packed()
+
+    total = coded.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0] // 8
+    chunk = F.xxhash64("query_ids", F.pmod(F.xxhash64("ids"), F.lit(-(-total // CHUNK) or 1)))
+    blocks = coded.crossJoin(queries).withColumn("chunk", chunk).repartition("chunk").sortWithinPartitions("chunk")
+    found = blocks.drop("chunk").mapInArrow(run, "query_id long, class long, estimate double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("estimate", "class"))
     return found.withColumn("place", rank).where(F.col("place") <= most).select("query_id", "class").distinct()
 
