@@ -127,13 +127,77 @@ ENDS = [
 ]
 
 
+#: Every table of a build.
+TABLES = frozenset({
+    "human", "viral", "function_cites", "virus", "family", "parent", "in_taxon", "publication", "interaction", "involves", "interacts_with", "description", "supports",
+    "description_reported_in", "peptide", "reports", "from", "binds", "go_term", "go_edge", "annotation", "annotation_reported_in", "vault_sequence", "vault_entry",
+    "vault_mature", "vault_observation",
+})
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What the audit needs beside the tables; rules without their part aren't tested."""
+
+    kept_methods: DataFrame | None = None  # id
+    groups: DataFrame | None = None  # group, pmid
+    codes: tuple[str, ...] = ()
+    namespaces: tuple[str, ...] = ()
+    roots: tuple[str, ...] = ()
+    binding: str | None = None
+
+
+#: Codes of experimental evidence, namespaces of annotated terms with their roots, and protein binding.
+CODES = ("EXP", "IDA", "IPI", "IMP", "IGI", "IEP", "HTP", "HDA", "HMP", "HGI", "HEP")
+NAMESPACES = ("molecular_function", "biological_process")
+ROOTS = ("GO:0003674", "GO:0008150")
+BINDING = "GO:0005515"
+
+
 def proteins(t: dict[str, DataFrame]) -> DataFrame:
     """protein: the reference of every protein."""
     return t["human"].select(A.human_ref(F.col("accession")).alias("protein")).unionByName(t["viral"].select(A.viral_ref(F.col("ncbi_taxon_id"), F.col("name")).alias("protein")))
 
 
-def audit(t: dict[str, DataFrame]) -> list[V.Check]:
+def audit_by(t: dict[str, DataFrame], rules: Rules) -> list[V.Check]:
+    """The rules of written tables that depend on lists kept beside them."""
+    found, pair = [], ["kind", "a", "b"]
+    archive = t["supports"].join(t["description_reported_in"], "description_id").join(t["description"].where("source = 'archive'"), "description_id")
+    if rules.kept_methods is not None:
+        found.append(V.Check("D7", "archive method that isn't kept", V.dangling(archive, ["method_id"], rules.kept_methods, ["id"])))
+    if rules.groups is not None:
+        several = archive.join(rules.groups.select("group", "pmid"), "pmid").groupBy(*pair, "group").agg(F.sort_array(F.collect_set("pmid")).alias("pmids"))
+        found.append(V.Check("D8", "claim with two publications of a group", several.where(F.size("pmids") > 1)))
+    if rules.codes:
+        other = F.array_except("evidence_codes", F.array(*map(F.lit, rules.codes)))
+        found.append(V.Check("A4", "code that isn't experimental", t["annotation_reported_in"].where(F.size(other) > 0)))
+    if rules.namespaces:
+        terms = t["go_term"].where(~F.col("namespace").isin(*rules.namespaces))
+        found.append(V.Check("A5", "annotation to another namespace", t["annotation"].join(terms.select(F.col("id").alias("go_id")), "go_id", "left_semi")))
+    if rules.binding:
+        root = t["go_term"].sparkSession.createDataFrame([(rules.binding,)], "id string")
+        below = C.descendants(root, t["go_edge"]).select(F.col("id").alias("go_id"))
+        found.append(V.Check("A5", "annotation at or below binding", t["annotation"].join(below, "go_id", "left_semi")))
+    if rules.roots:
+        orphans = V.childless(t["go_term"], ["id"], t["go_edge"], ["child"]).where(~F.col("id").isin(*rules.roots))
+        found.append(V.Check("G2", "term without parent", orphans))
+    return found
+
+
+def misplaced_peptides(t: dict[str, DataFrame]) -> DataFrame:
+    """Reports (description_id, sequence) unless exactly one protein of the description's pair is a source of the peptide, and
+    at least one binds it."""
+    sides = t["reports"].join(t["supports"], "description_id").select("description_id", "sequence", F.explode(F.array_distinct(F.array("a", "b"))).alias("protein"))
+    for edge in ("from", "binds"):
+        sides = sides.join(t[edge].select("sequence", "protein", F.lit(1).alias(f"is_{edge}")).distinct(), ["sequence", "protein"], "left")
+    counted = sides.groupBy("description_id", "sequence").agg(F.count("is_from").alias("sources"), F.count("is_binds").alias("targets"))
+    return counted.where("sources <> 1 OR targets = 0")
+
+
+def audit(t: dict[str, DataFrame], rules: Rules = Rules()) -> list[V.Check]:
     """The rules of written tables."""
+    spark = t["human"].sparkSession
+    strange = spark.createDataFrame([(name,) for name in sorted(t.keys() ^ TABLES)], "name string")
     found = [V.Check("V0", f"{name}: key repeats", V.repeated(t[name], key)) for name, key in KEYS.items()]
     found += [V.Check("S2", f"{name}: a value is missing", V.incomplete(t[name], t[name].columns)) for name in KEYS]
     found += [V.Check("S4", f"{name} to {node}", V.dangling(t[name], ends, t[node], key)) for name, ends, node, key in ENDS]
@@ -148,8 +212,15 @@ def audit(t: dict[str, DataFrame]) -> list[V.Check]:
     archive = described.where("source = 'archive'")
     cited = t["function_cites"].select("pmid").unionByName(t["description_reported_in"].select("pmid")).unionByName(t["annotation_reported_in"].select("pmid"))
     children = t["go_edge"].select(F.col("parent").alias("id")).unionByName(t["annotation"].select(F.col("go_id").alias("id")))
+    unordered = claims.select(F.least("a", "b").alias("one"), F.greatest("a", "b").alias("two"))
     return [
         *found,
+        *audit_by(t, rules),
+        V.Check("S1", "table that isn't declared, or is missing", strange),
+        V.Check("S3", "claim neither HH nor VH", claims.where("kind NOT IN ('HH', 'VH')")),
+        V.Check("S3", "description neither curated nor of the archive", t["description"].where("source NOT IN ('curated', 'archive')")),
+        V.Check("S3", "taxon both virus and family", V.overlapping(t["virus"], t["family"], ["ncbi_taxon_id"])),
+        V.Check("I1", "claims of one unordered pair", V.repeated(unordered, ["one", "two"])),
         V.Check("I2", "two INVOLVES a claim", V.wrong_degree(claims, pair, t["involves"], 2, 2)),
         V.Check("I3", "VH is one human and one viral protein, HH two human ones", grouped.where("n_viral <> CASE kind WHEN 'VH' THEN 1 ELSE 0 END")),
         V.Check("I4", "counters equal a recount", V.differing(claims, A.counted_claims(described, peptides), pair, counters)),
@@ -165,17 +236,20 @@ def audit(t: dict[str, DataFrame]) -> list[V.Check]:
         V.Check("A2", "annotation without publication", V.childless(t["annotation"], KEYS["annotation"], t["annotation_reported_in"], KEYS["annotation"])),
         V.Check("A4", "annotation without codes", t["annotation_reported_in"].where(F.size("evidence_codes") == 0)),
         V.Check("G3", "term neither annotated nor a parent", t["go_term"].join(children, "id", "left_anti")),
+        V.Check("T1", "viral protein without its virus", V.dangling(t["viral"], ["ncbi_taxon_id", "name"], t["in_taxon"].join(t["virus"].select("ncbi_taxon_id"), "ncbi_taxon_id", "left_semi"), ["ncbi_taxon_id", "name"])),
+        V.Check("T2", "taxon of a protein that isn't viral", V.dangling(t["in_taxon"], ["ncbi_taxon_id", "name"], t["viral"], ["ncbi_taxon_id", "name"])),
         V.Check("T3", "virus of several families", V.repeated(t["parent"], ["virus_id"])),
         V.Check("T4", "virus without protein", V.childless(t["virus"], ["ncbi_taxon_id"], t["in_taxon"], ["ncbi_taxon_id"])),
         V.Check("P1", "peptide's length or case", t["peptide"].where("length NOT BETWEEN 5 AND 20 OR length <> length(sequence) OR NOT sequence RLIKE '^[A-Z]+$'")),
         *[V.Check("P2", f"peptide without {e}", V.childless(t["peptide"], ["sequence"], t[e], ["sequence"])) for e in ("reports", "from", "binds")],
+        V.Check("P3", "peptide without its one source, or without target, in the pair", misplaced_peptides(t)),
         V.Check("B1", "publication that nothing cites", V.childless(t["publication"], ["pmid"], cited, ["pmid"])),
     ]
 
 
-def build(spark: SparkSession, export: str, given: Prepared, root: str) -> tuple[str, DataFrame]:
+def build(spark: SparkSession, export: str, given: Prepared, root: str, rules: Rules = Rules()) -> tuple[str, DataFrame]:
     """Assemble, gate, write and publish a build; gives its folder and the number of rows of every table."""
     tables, checks = assemble(spark, export, given)
     V.gate(checks)
-    run = V.publish(spark, tables, root, audit)
+    run = V.publish(spark, tables, root, lambda read: audit(read, rules))
     return run, K.build_report({name: spark.table(name) for name in tables})

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from evidra.functions.text import stripped, tagged
+from evidra.functions.text import clean, first_year, stripped, tagged, without_citations
 
 
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -66,17 +66,47 @@ def read_taxonomy(spark: SparkSession, nodes: str, names: str, merged: str) -> t
     return taxa.join(named, "tax_id", "left"), cut(merged).select(at(0).cast("long").alias("old_id"), at(1).cast("long").alias("new_id"))
 
 
-def read_publications(spark: SparkSession, path: str) -> DataFrame:
-    """pmid, title, year, journal and abstract of publication elements, one to a row of text."""
-    rows = spark.read.option("lineSep", "</PubmedArticle>").text(path).where(F.col("value").contains("<PubmedArticle"))
-    xml = F.concat(F.regexp_extract("value", r"(?s)<PubmedArticle.*", 0), F.lit("</PubmedArticle>"))
-    at = lambda p: F.trim(F.expr("xpath_string(xml, '" + p + "')"))
-    return rows.select(xml.alias("xml")).select(
-        at("//MedlineCitation/PMID").alias("pmid"), at("//ArticleTitle").alias("title"),
-        F.coalesce(F.nullif(F.regexp_extract(at("//PubDate"), r"\d{4}", 0), F.lit("")).cast("long"), F.lit(0)).alias("year"), at("//Journal/Title").alias("journal"), at("//Abstract").alias("abstract"),
+def _elements(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """xml of the elements of a name, one to a row; elements of one name don't nest."""
+    rows = spark.read.option("lineSep", f"</{tag}>").text(path).where(F.col("value").rlike(f"<{tag}[ >]"))
+    return rows.select(F.concat(F.regexp_extract("value", rf"(?s).*(<{tag}[ >].*)", 1), F.lit(f"</{tag}>")).alias("xml"))
+
+
+def _xpath(xml: str | Column, path: str) -> Column:
+    return clean(F.xpath_string(xml, F.lit(path)))
+
+
+def _publication(rows: DataFrame, document: str, title: list[str], dates: list[str], journal: str) -> DataFrame:
+    """A publication of each element; `own` is the part of it whose authors and abstract are its own."""
+    at = lambda p: _xpath("xml", f"{document}/{p}")
+    part = lambda x, tag: F.regexp_extract_all(x, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?(?<!/)>.*?</{tag}>"), F.lit(0))
+    name = lambda x, *tags: F.concat_ws(" ", *[F.nullif(_xpath(x, f"/Author/{t}"), F.lit("")) for t in tags])
+    people = F.flatten(F.transform(part("own", "AuthorList"), lambda x: part(x, "Author")))
+    named = F.transform(people, lambda x: F.coalesce(F.nullif(name(x, "CollectiveName"), F.lit("")), name(x, "LastName", "Initials")))
+    sections = F.flatten(F.transform(part("own", "Abstract"), lambda x: part(x, "AbstractText")))
+    told = F.transform(sections, lambda x: F.struct(F.xpath_string(x, F.lit("/AbstractText/@Label")).alias("label"), _xpath(x, "/AbstractText").alias("text")))
+    told = F.transform(F.filter(told, lambda s: s["text"] != ""), lambda s: F.when(s["label"] != "", F.concat(s["label"], F.lit(": "), s["text"])).otherwise(s["text"]))
+    return rows.select(
+        at("PMID" if "Book" in document else "../PMID").alias("pmid"), F.coalesce(*[F.nullif(at(p), F.lit("")) for p in title], F.lit("")).alias("title"),
+        first_year([at(p) for p in dates]).alias("year"), at(journal).alias("journal"), F.filter(named, lambda x: x != "").alias("authors"), F.array_join(told, " ").alias("abstract"),
     )
 
 
+def read_publications(spark: SparkSession, path: str) -> DataFrame:
+    """pmid, title, year, journal, authors and abstract of the articles and book articles of publication files.
+
+    An author is a consortium's name or a last name with initials; sections of an abstract stand under their labels. Elements
+    without a citation's article or a book's document are left out.
+    """
+    articles = _elements(spark, path, "PubmedArticle").withColumn("own", F.regexp_extract("xml", r"(?s)<Article[ >].*</Article>", 0)).where("own <> ''")
+    books = _elements(spark, path, "PubmedBookArticle").where(F.col("xml").rlike("<BookDocument[ >]"))
+    books = books.withColumn("own", F.regexp_replace("xml", r"(?s)<Book[ >].*?</Book>", ""))
+    found = _publication(
+        articles, "/PubmedArticle/MedlineCitation/Article", ["ArticleTitle"], ["Journal//PubDate", "ArticleDate", "../DateCompleted"], "Journal/Title"
+    )
+    return found.unionByName(_publication(books, "/PubmedBookArticle/BookDocument", ["ArticleTitle", "Book/BookTitle"], ["Book/PubDate"], "Book/Publisher/PublisherName"))
+
+
 ENTRY = (
     "results array<struct<primaryAccession:string,entryType:string,comments:array<struct<commentType:string,molecule:string,"
     "texts:array<struct<value:string,evidences:array<struct<source:string,id:string>>>>>>,features:array<struct<type:string,"
@@ -96,5 +126,53 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _cited(texts: Column) -> Column:
+    """The publications that texts cite, in order, once each."""
+    none = F.array().cast("array<string>")
+    ids = F.transform(texts, lambda t: F.coalesce(F.transform(F.filter(t["evidences"], lambda v: v["source"] == "PubMed"), lambda v: v["id"]), none))
+    return F.array_distinct(F.filter(F.flatten(ids), lambda x: x.rlike(r"^\d+$")))
+
+
+def _reviewed(spark: SparkSession, path: str) -> DataFrame:
+    """accession, features and the function comments of reviewed protein entries."""
+    entries = spark.read.schema(ENTRY).option("multiLine", True).json(path).select(F.explode("results").alias("e"))
+    kept = entries.where(F.lower("e.entryType").contains("reviewed") & ~F.lower("e.entryType").contains("unreviewed"))
+    return kept.select(F.col("e.primaryAccession").alias("accession"), "e.features", F.filter("e.comments", lambda c: c["commentType"] == "FUNCTION").alias("comments"))
+
+
+def _under(molecule: Column, text: Column) -> Column:
+    return F.when(molecule != "", F.concat(F.lit("["), molecule, F.lit("]: "), text)).otherwise(text)
+
+
+def read_host_functions(spark: SparkSession, path: str) -> DataFrame:
+    """accession, function, pmids of reviewed entries: the comments that say anything, in order, without inline references,
+    scoped ones under their molecule's name."""
+    said = F.transform(
+        "comments",
+        lambda c: F.struct(
+            without_citations(F.array_join(F.transform(c["texts"], lambda t: t["value"]), " ")).alias("text"), F.coalesce(c["molecule"], F.lit("")).alias("molecule"), _cited(c["texts"]).alias("pmids")
+        ),
+    )
+    rows = _reviewed(spark, path).select("accession", F.filter(said, lambda s: s["text"] != "").alias("said")).where(F.size("said") > 0)
+    function = F.array_join(F.transform("said", lambda s: _under(s["molecule"], s["text"])), " ")
+    return rows.select("accession", function.alias("function"), F.array_distinct(F.flatten(F.transform("said", lambda s: s["pmids"]))).alias("pmids"))
+
+
+def read_scoped_functions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Texts of whole reviewed entries (accession, comment, place, function, pmids) and of their chains (also name, start,
+    stop). A text is a chain's, once for each place of it, if its molecule is a chain whose ends are known; a text of another
+    molecule is the entry's, under that name. comment and place give the order."""
+    texts = _reviewed(spark, path).select("accession", "features", F.posexplode("comments").alias("comment", "c"))
+    texts = texts.select("accession", "features", "comment", F.coalesce("c.molecule", F.lit("")).alias("name"), F.posexplode("c.texts").alias("place", "t"))
+    texts = texts.withColumns({"function": without_citations(F.col("t.value")), "pmids": _cited(F.array("t"))}).where("function <> ''")
+    here = lambda f: (f["type"] == "Chain") & (F.coalesce(f["description"], F.lit("")) == F.col("name"))
+    known = lambda f: f["location"]["start"]["value"].isNotNull() & f["location"]["end"]["value"].isNotNull()
+    chains = F.filter("features", lambda f: here(f) & known(f))
+    texts = texts.withColumn("chains", F.when(F.col("name") == "", F.lit(None)).otherwise(chains))
+    whole = texts.where("coalesce(size(chains), 0) <= 0").select("accession", "comment", "place", _under(F.col("name"), F.col("function")).alias("function"), "pmids")
+    located = texts.select("accession", "comment", "place", "name", "function", "pmids", F.explode("chains").alias("f"))
+    return whole, located.select("accession", "comment", "place", "name", F.col("f.location.start.value").alias("start"), F.col("f.location.end.value").alias("stop"), "function", "pmids")
+
+
 def all_text(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), False) for c in columns])

@@ -117,6 +117,39 @@ def test_mutants_break_their_rules(spark, given, tmp_path):
         assert any(not broken.isEmpty() for broken in mine), invariant
 
 
+def viral(name):
+    return F.struct(F.lit("v").alias("kind"), F.lit("").alias("accession"), F.lit(101).cast("long").alias("ncbi_taxon_id"), F.lit(name).alias("name"))
+
+
+LISTED = {
+    "S1": ("strange", lambda df: df),
+    "S3": ("description", lambda df: df.withColumn("source", F.lit("other"))),
+    "I1": ("interaction", lambda df: df.unionByName(df.select("kind", F.col("b").alias("a"), F.col("a").alias("b"), *[c for c in df.columns if c.startswith("n_")]))),
+    "D7": ("description", lambda df: df.withColumn("method_id", F.lit("MI:0003"))),
+    "D8": ("description_reported_in", lambda df: df.unionByName(df.where("pmid = '12'").withColumn("pmid", F.lit("13")))),
+    "A4": ("annotation_reported_in", lambda df: df.withColumn("evidence_codes", F.array(F.lit("IEA")))),
+    "G2": ("go_edge", lambda df: df.where("child <> 'T1'")),
+    "T1": ("in_taxon", lambda df: df.where("name <> 'E6'")),
+    "T2": ("in_taxon", lambda df: df.withColumn("name", F.concat("name", F.lit("x")))),
+    "P3": ("from", lambda df: df.withColumn("protein", viral("E6"))),
+}
+
+
+def test_listed_rules_pass_a_build_and_mutants_break_them(spark, given, tmp_path):
+    tables, _ = B.assemble(spark, put(tmp_path / "export", FILES), given)
+    run = V.publish(spark, tables, str(tmp_path / "out"))
+    t = {name: spark.read.parquet(f"{run}/{name}") for name in tables}
+    grouped = spark.createDataFrame([("g", "12"), ("g", "13")], "group string, pmid string")
+    rules = B.Rules(given.methods.select("id"), grouped, ("IDA", "IPI"), ("P",), ("T0",), "T9")
+    wanted = lambda mine, r=rules: [c for c in B.audit(mine, r) if c.invariant in {*LISTED, "A5"}]
+    assert V.report(wanted(t), 2).collect() == []
+    for invariant, (name, change) in LISTED.items():
+        mine = [c.broken for c in wanted(t | {name: change(t[name] if name in t else t["human"])}) if c.invariant == invariant]
+        assert any(not broken.isEmpty() for broken in mine), invariant
+    below = [c.broken for c in B.audit(t, B.Rules(binding="T1", namespaces=("F",))) if c.invariant == "A5"]
+    assert [broken.count() for broken in below] == [1, 1]
+
+
 def test_sinks(spark, tmp_path):
     nodes = spark.createDataFrame([("b",), ("a",)], "id string")
     edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a")], "x string, y string")

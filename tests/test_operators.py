@@ -96,7 +96,43 @@ def test_readers(spark, tmp_path):
     taxa, merged = R.read_taxonomy(spark, *(str(tmp_path / n) for n in ("nodes", "names", "merged")))
     assert {tuple(r) for r in taxa.collect()} == {(1, 1, "no rank", None), (9, 1, "family", "F")} and [tuple(r) for r in merged.collect()] == [(8, 9)]
     (tmp_path / "p.xml").write_text("<Set><PubmedArticle><MedlineCitation><PMID>7</PMID><Article><ArticleTitle>A <i>b</i> c</ArticleTitle><Journal><Title>J</Title><PubDate><MedlineDate>1998 Jan</MedlineDate></PubDate></Journal></Article></MedlineCitation></PubmedArticle></Set>")
-    assert [tuple(r) for r in R.read_publications(spark, str(tmp_path / "p.xml")).collect()] == [("7", "A b c", 1998, "J", "")]
+    assert [tuple(r) for r in R.read_publications(spark, str(tmp_path / "p.xml")).collect()] == [("7", "A b c", 1998, "J", [], "")]
     entry = {"primaryAccession": "P1", "entryType": "UniProtKB reviewed (Swiss-Prot)", "comments": [{"commentType": "FUNCTION", "texts": [{"value": "Does.", "evidences": [{"source": "PubMed", "id": "5"}, {"source": "PubMed", "id": "x"}]}]}]}
     (tmp_path / "e.json").write_text(json.dumps({"results": [entry, entry | {"entryType": "UniProtKB unreviewed (TrEMBL)"}]}))
     assert [tuple(r) for r in R.read_entries(spark, str(tmp_path / "e.json")).collect()] == [("P1", "", "Does.", ["5"])]
+
+
+def test_authors_sections_and_books(spark, tmp_path):
+    article = """<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>8</PMID><DateCompleted><Year>2001</Year></DateCompleted><Article><Journal><Title>J &amp; K</Title></Journal>
+      <ArticleTitle>On <i>x</i>
+      y</ArticleTitle><Abstract><AbstractText Label="AIM">To <b>see</b>.</AbstractText><AbstractText/><AbstractText>It is.</AbstractText></Abstract>
+      <AuthorList><Author><LastName>Roe</LastName><Initials>J</Initials></Author><Author><CollectiveName>The Group</CollectiveName></Author><Author><LastName>Solo</LastName></Author></AuthorList>
+      </Article><OtherAbstract><AbstractText>Other.</AbstractText></OtherAbstract></MedlineCitation></PubmedArticle>"""
+    book = """<PubmedBookArticle><BookDocument><PMID>9</PMID><Book><Publisher><PublisherName>Press</PublisherName></Publisher><BookTitle>Book</BookTitle><PubDate><Year>2010</Year></PubDate>
+      <AuthorList><Author><LastName>Editor</LastName></Author></AuthorList></Book><AuthorList><Author><LastName>Own</LastName><Initials>A B</Initials></Author></AuthorList></BookDocument></PubmedBookArticle>
+      <PubmedArticle><MedlineCitation><PMID>10</PMID></MedlineCitation></PubmedArticle></PubmedArticleSet>"""
+    (tmp_path / "p.xml").write_text(article + book)
+    got = [tuple(r) for r in R.read_publications(spark, str(tmp_path / "p.xml")).orderBy("pmid").collect()]
+    assert got == [("8", "On x y", 2001, "J & K", ["Roe J", "The Group", "Solo"], "AIM: To see. It is."), ("9", "Book", 2010, "Press", ["Own A B"], "")]
+
+
+def test_chains_and_scoped_texts(spark, tmp_path):
+    said = lambda value, *ids: {"value": value, "evidences": [{"source": "PubMed", "id": i} for i in ids]}
+    chain = lambda name, a, b: {"type": "Chain", "description": name, "location": {"start": {"value": a}, "end": {"value": b}}}
+    comments = [
+        {"commentType": "FUNCTION", "texts": [said("Whole (PubMed:1).", "2", "1"), said("(PubMed:3)", "3")]},
+        {"commentType": "FUNCTION", "molecule": "M", "texts": [said("Cuts.", "4"), {"value": "Binds."}]},
+        {"commentType": "FUNCTION", "molecule": "Isoform 2", "texts": [said("Shorter.", "2")]},
+        {"commentType": "FUNCTION", "molecule": "N", "texts": [said("Lost.")]},
+        {"commentType": "SUBUNIT", "texts": [said("Dimer.")]},
+    ]
+    entry = {"primaryAccession": "P1", "entryType": "UniProtKB reviewed (Swiss-Prot)", "comments": comments, "features": [chain("M", 1, 9), chain("M", 20, 29), chain("N", None, 5)]}
+    bare = {"primaryAccession": "P2", "entryType": "UniProtKB reviewed (Swiss-Prot)"}
+    (tmp_path / "e.json").write_text(json.dumps({"results": [entry, bare, entry | {"primaryAccession": "P3", "entryType": "UniProtKB unreviewed (TrEMBL)"}]}))
+    whole, chains = R.read_scoped_functions(spark, str(tmp_path / "e.json"))
+    assert [tuple(r) for r in whole.orderBy("comment", "place").collect()] == [
+        ("P1", 0, 0, "Whole.", ["2", "1"]), ("P1", 2, 0, "[Isoform 2]: Shorter.", ["2"]), ("P1", 3, 0, "[N]: Lost.", []),
+    ]
+    assert [tuple(r)[3:] for r in chains.orderBy("place", "start").collect()] == [("M", a, b, f, p) for f, p in (("Cuts.", ["4"]), ("Binds.", [])) for a, b in ((1, 9), (20, 29))]
+    hosts = R.read_host_functions(spark, str(tmp_path / "e.json")).collect()
+    assert [tuple(r) for r in hosts] == [("P1", "Whole. [M]: Cuts. Binds. [Isoform 2]: Shorter. [N]: Lost.", ["2", "1", "3", "4"])]
