@@ -226,6 +226,12 @@ def two_hop(spark, d):
     return G.two_hop(strong, t(spark, d, "supplier").where("s_suppkey < 5").selectExpr("s_suppkey AS protein"))
 
 
+@query(f"SELECT x.protein, y.partner AS target, count(*) AS n_paths FROM {HH_BOTH} x JOIN {HH_BOTH} y ON x.partner = y.protein WHERE x.protein <> y.partner GROUP BY 1, 2")
+def two_hop_all(spark, d):
+    """two_hop over all pairs, every supplier being a seed."""
+    return G.two_hop(hh_pairs(spark, d), t(spark, d, "supplier").selectExpr("s_suppkey AS protein"))
+
+
 @query("""SELECT n_name AS virus, c_mktsegment AS protein, l_suppkey AS human, count(*) AS n_descriptions, count(DISTINCT l_orderkey) AS n_publications
 FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE n_name LIKE '%A%' AND n_nationkey < 10 GROUP BY ALL""")
 def virus_drilldown(spark, d):
