@@ -59,14 +59,21 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", "[0-9a-f]+", 0, 24),
 )
+#: A key from its header to its END line; where that is missing before the next dashes, to the end of its base64 lines (lines
+#: of base64 only, or 16 characters and more of it), which newlines written as backslash and n may separate too.
+_ENDED = r"[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+_LINES = (
+    r"(?:(?:\s|\\[nr])++(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*+|[A-Za-z0-9+/]{16,}+=*+"
+    r"|[A-Za-z0-9+/]++=*+(?=[ \t]*+(?:[\r\n]|\\[nr]|\Z))))*+"
+)
 MORE = (
-    Rule("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", f"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:{_ENDED}|{_LINES})"),
     Rule("code_host_token", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", "AIza[A-Za-z0-9_-]{35}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
     Rule("payment_key", "sk_live_[A-Za-z0-9]{16,}"),
-    Rule("url_password", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:[^\s/:@]{1,100}@"),
+    Rule("url_password", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]++:[^\s/:@]++@"),
 )
 
 
