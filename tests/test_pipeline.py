@@ -1,0 +1,27 @@
+import random
+from collections import Counter
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+DIR = "/root/testdata/sf0.01"
+
+
+def test_gibberish_goes_and_short_and_long_documents_stay(spark):
+    rng = random.Random(5)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    given = docs.orderBy("doc_id").collect()
+    letters = [chr(c) for c in range(97, 123)]
+    odd = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 10))) for _ in range(n)) for n in [20] * 10 + [100] * 5 + [2000, 20000]]
+    whole = {lang: "\n".join(r.text for r in given if r.lang == lang) for lang in ("de", "en", "es", "fr")}
+    words = [Counter(text.split()).most_common(1)[0][0] for text in whole.values()] + ["from", "the"]
+    rows = [(f"odd {k}", text, "en") for k, text in enumerate(odd)] + [(f"whole {lang}", text, lang) for lang, text in whole.items()]
+    rows += [(f"word {k}", text, "en") for k, text in enumerate(words)] + [("none", "12 345", "en")]
+    more = spark.createDataFrame([(10**6 + k, text, lang, name, len(text)) for k, (name, text, lang) in enumerate(rows)], docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    out = corpus_pipeline.language_known(spark, docs.select(*more.columns).unionByName(more), DIR)
+    assert out.columns == more.columns
+    kept = {r.source: r.lang for r in out.where("doc_id >= 1000000").select("source", "lang").collect()}
+    assert {k for k in kept if k.startswith("odd") or k == "none"} == set()
+    assert set(kept) == {f"word {k}" for k in range(len(words))} | {f"whole {lang}" for lang in whole}
+    assert all(kept[f"whole {lang}"] == lang for lang in whole)
+    assert out.where("doc_id < 1000000").agg(F.count("*")).first()[0] == len(given)
