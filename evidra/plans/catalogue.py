@@ -89,6 +89,12 @@ def partners_above(spark, d):
     return G.both_ways(hh_pairs(spark, d)).where("protein <> partner AND protein % 10 = 3 AND n_publications >= 2").select("protein", "partner", "n_publications")
 
 
+@query(f"SELECT protein, partner, n_publications FROM {HH_BOTH} WHERE n_publications >= 2")
+def partners_above_all(spark, d):
+    """partners_above for all proteins."""
+    return G.both_ways(hh_pairs(spark, d)).where("protein <> partner AND n_publications >= 2").select("protein", "partner", "n_publications")
+
+
 @query("""WITH x AS (SELECT l_orderkey AS publication, l_suppkey AS a, l_partkey AS b, p_brand AS method, l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT publication, a, b, method, 'curated' AS source FROM x WHERE l_returnflag = 'R' UNION ALL
 SELECT DISTINCT publication, a, b, method, 'archive' FROM x WHERE l_returnflag <> 'R' AND publication NOT IN (SELECT publication FROM x WHERE l_returnflag = 'R')""")
@@ -150,6 +156,21 @@ def closure_edges(spark, d):
     return C.walked_edges(C.ancestors(seeds(spark, d), edges(spark, d)), edges(spark, d)).select("child", "parent", "relation")
 
 
+CLOSURE_ALL = f"r AS (SELECT DISTINCT p_partkey AS id FROM part UNION SELECT e.parent FROM r JOIN {EDGES} e ON e.child = r.id)"
+
+
+@query(f"WITH RECURSIVE {CLOSURE_ALL} SELECT id FROM r")
+def ancestor_closure_all(spark, d):
+    """ancestor_closure from all parts."""
+    return C.ancestors(t(spark, d, "part").selectExpr("p_partkey AS id"), edges(spark, d))
+
+
+@query(f"WITH RECURSIVE {CLOSURE_ALL} SELECT child, parent, relation FROM {EDGES} WHERE child IN (SELECT id FROM r)")
+def closure_edges_all(spark, d):
+    """closure_edges from all parts."""
+    return C.walked_edges(ancestor_closure_all(spark, d), edges(spark, d)).select("child", "parent", "relation")
+
+
 DOWN = f"b AS (SELECT 5::BIGINT AS id UNION SELECT e.child FROM b JOIN {EDGES} e ON e.parent = b.id)"
 
 
@@ -217,6 +238,14 @@ def asof_release(spark, d):
     return M.as_of(cutoffs, t(spark, d, "orders").where("o_orderkey % 100 = 0").selectExpr("CAST(o_orderdate AS DATE) AS release"))
 
 
+@query("""SELECT c.cutoff, max(r.release) AS release FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS cutoff FROM lineitem) c
+LEFT JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS release FROM orders) r ON r.release <= c.cutoff GROUP BY 1""")
+def asof_release_all(spark, d):
+    """asof_release with all order dates as releases."""
+    cutoffs = t(spark, d, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS cutoff").distinct()
+    return M.as_of(cutoffs, t(spark, d, "orders").selectExpr("CAST(o_orderdate AS DATE) AS release"))
+
+
 STRONG = f"(SELECT protein, partner FROM {HH_BOTH} WHERE n_publications >= 25)"
 
 
@@ -247,6 +276,14 @@ def family_rollup(spark, d):
     return rows.groupBy(F.col("r_name").alias("family")).agg(F.count("*").alias("n_interactions"), F.countDistinct("a").alias("n_hosts"))
 
 
+@query(f"SELECT r_name AS family, count(DISTINCT (a, b_nation, b_name)) AS n_interactions, count(DISTINCT a) AS n_hosts FROM {VH} JOIN nation ON b_nation = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def family_rollup_all(spark, d):
+    """family_rollup over all hosts."""
+    rows = vh_observations(spark, d).select("a", "b_nation", "b_name").distinct()
+    rows = rows.join(F.broadcast(t(spark, d, "nation")), F.col("b_nation") == F.col("n_nationkey")).join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.groupBy(F.col("r_name").alias("family")).agg(F.count("*").alias("n_interactions"), F.countDistinct("a").alias("n_hosts"))
+
+
 @query(f"SELECT DISTINCT peptide, a AS source, b_nation, b_name FROM {VH} WHERE b_name = 'BUILDING' AND b_nation = 3")
 def peptide_from_binds(spark, d):
     return vh_observations(spark, d).where("b_name = 'BUILDING' AND b_nation = 3").selectExpr("peptide", "a AS source", "b_nation", "b_name").distinct()
@@ -331,6 +368,15 @@ def observed_lookup(spark, d):
     return L.observed(o.select("stable_id"), o, t(spark, d, "customer").selectExpr("c_custkey AS accession", "c_name AS description"))
 
 
+@query("""SELECT i.id AS stable_id, c_custkey AS accession, c_name AS description
+FROM (SELECT o_orderkey AS id FROM orders UNION SELECT -o_orderkey - 1 FROM orders) i LEFT JOIN orders ON o_orderkey = i.id LEFT JOIN customer ON o_custkey = c_custkey""")
+def observed_lookup_all(spark, d):
+    """observed_lookup for all orders, and as many ids without an observation, against all observations."""
+    o = t(spark, d, "orders").selectExpr("o_orderkey AS stable_id", "o_custkey AS accession")
+    asked = o.select("stable_id").unionByName(o.selectExpr("-stable_id - 1 AS stable_id")).distinct()
+    return L.observed(asked, o, t(spark, d, "customer").selectExpr("c_custkey AS accession", "c_name AS description"))
+
+
 TERMS = ["the", "und", "que", "licensed"]
 
 

@@ -31,3 +31,21 @@ def test_two_hop_over_a_hub(spark):
     got = {(r.protein, r.target): r.n_paths for r in G.two_hop(pairs, spark.range(0, 3).withColumnRenamed("id", "protein")).collect()}
     want = {(1, k): 1 for k in range(2, 40)} | {(2, k): 1 for k in [1, *range(3, 40)]} | {(0, 1): 1, (0, 2): 1, (1, 0): 1, (2, 0): 1}
     assert got == want
+
+
+def ids(spark, name, column):
+    return {r[0] for r in spark.read.parquet(f"{DIR}/{name}.parquet").select(column).collect()}
+
+
+def test_queries_over_all_ids_leave_none_out(spark):
+    found = {n: catalogue.QUERIES[n](spark, DIR).collect() for n in ("partners_above_all", "family_rollup_all", "ancestor_closure_all", "closure_edges_all", "observed_lookup_all", "asof_release_all")}
+    suppliers, parts, orders = set().union(*met(spark).values()), ids(spark, "part", "p_partkey"), ids(spark, "orders", "o_orderkey")
+    together = Counter((a, b) for s in met(spark).values() for a in s for b in s if a != b)
+    assert {(r.protein, r.partner): r.n_publications for r in found["partners_above_all"]} == {k: n for k, n in together.items() if n >= 2}
+    assert max(r.n_hosts for r in found["family_rollup_all"]) == len(suppliers)
+    assert parts <= {r.id for r in found["ancestor_closure_all"]} and parts - {0} == {r.child for r in found["closure_edges_all"]}
+    looked = {r.stable_id: r.accession for r in found["observed_lookup_all"]}
+    assert {k for k in looked if k >= 0} == orders and all(looked[-k - 1] is None for k in orders)
+    dates = {str(x)[:10] for x in ids(spark, "orders", "o_orderdate")}
+    for r in found["asof_release_all"]:
+        assert (r.release and str(r.release)) == max((x for x in dates if x <= str(r.cutoff)), default=None)
