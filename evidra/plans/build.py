@@ -172,7 +172,8 @@ def audit_by(t: dict[str, DataFrame], rules: Rules) -> list[V.Check]:
         other = F.array_except("evidence_codes", F.array(*map(F.lit, rules.codes)))
         found.append(V.Check("A4", "code that isn't experimental", t["annotation_reported_in"].where(F.size(other) > 0)))
     if rules.namespaces:
-        terms = t["go_term"].where(~F.col("namespace").isin(*rules.namespaces))
+        terms = t["go_term"].where(~F.coalesce(F.col("namespace").isin(*rules.namespaces), F.lit(False)))
+        found.append(V.Check("G1", "term of another namespace", terms))
         found.append(V.Check("A5", "annotation to another namespace", t["annotation"].join(terms.select(F.col("id").alias("go_id")), "go_id", "left_semi")))
     if rules.binding:
         root = t["go_term"].sparkSession.createDataFrame([(rules.binding,)], "id string")

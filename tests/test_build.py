@@ -150,6 +150,16 @@ def test_listed_rules_pass_a_build_and_mutants_break_them(spark, given, tmp_path
     assert [broken.count() for broken in below] == [1, 1]
 
 
+def test_terms_of_another_namespace_break_g1(spark):
+    terms = spark.createDataFrame([("T0", "P"), ("T1", "P"), ("T2", "C"), ("T3", None)], "id string, namespace string")
+    t = {"go_term": terms, "go_edge": spark.createDataFrame([("T1", "T0")], "child string, parent string")}
+    t |= {"annotation": spark.createDataFrame([("T1",)], "go_id string")}
+    t |= {"supports": spark.createDataFrame([], "description_id string"), "description_reported_in": spark.createDataFrame([], "description_id string, pmid string")}
+    t |= {"description": spark.createDataFrame([], "description_id string, source string")}
+    found = {c.invariant: c.broken for c in B.audit_by(t, B.Rules(namespaces=("P",)))}
+    assert {r.id for r in found["G1"].collect()} == {"T2", "T3"} and found["A5"].isEmpty()
+
+
 def test_sinks(spark, tmp_path):
     nodes = spark.createDataFrame([("b",), ("a",)], "id string")
     edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "a")], "x string, y string")
