@@ -3,20 +3,29 @@
 A vector is coded as the sum of one full-dimensional codeword from each of several codebooks. The codebooks are trained in
 turn by k-means on what the ones before leave over, on a bounded sample; a vector is encoded by beam search over all
 books. With the norm of each sum stored, the squared distance to a query is, up to a constant, the norm less twice a few
-entries of the query's lookup table. Blocks of coded vectors meet blocks of queries; the best of each block go on, and the
-exact distances of the best of all decide, in double precision and in the order of the components.
+entries of the query's lookup table. The first codeword is a vector's cell: a query looks at the coded vectors of the
+PROBE cells nearest to it, and of more while these hold too few; the best estimates go on, and the exact distances decide,
+in double precision and in the order of the components. With `rerank` and `probe` at the number of rows and of words, every
+row is reranked and the result is exact.
+
+Codes are dealt by a hash into chunks and queries into blocks, both of bounded size; a chunk and a block meet in one task.
+Blocks grow with the query set up to their bound, so codes are shuffled once for some thousands of queries.
 
 Equal vectors form a class that is coded once, under its smallest vec_id: they are equally far from any query, so they can't
 crowd out others, and the shortlisted classes give their rows back before the exact distances. Of a class only the k + 1
 smallest vec_ids can be among the k nearest of any query, ties going to the smaller vec_id, so these are all that it keeps.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part. Repeated
-vec_ids are rows of their own, and a query leaves out every row of its own vec_id. Ties go to the smaller vec_id. With
-fewer candidates than asked for, all are returned. An empty table gives no rows; other columns are ignored.
+Vectors that are null, zero, of another length than most (the shorter one if as many), or hold null or non-finite
+components take no part. Repeated vec_ids are rows of their own: each row that is a query has a list of its own, under its
+vec_id, equal rows equal lists; and a query leaves out every row of its own vec_id. Ties go to the smaller vec_id. With fewer
+candidates than asked for, all are returned. Components of any size are allowed: codes are of vectors scaled by the usual
+norm, and a distance whose square overflows is scaled before it is squared. An empty table gives no rows; other columns,
+whatever their names, are ignored. Texts play no part; very long vectors cost memory in proportion to CHUNK.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,24 +35,27 @@ from pyspark.sql import functions as F
 
 from evidra.llm.common import ship, stored, table
 
-BOOKS, WORDS, BEAM = 16, 256, 8
+BOOKS, WORDS, BEAM, ROUNDS = 32, 256, 3, 6
 #: At most about this many vectors, chosen by a hash of vec_id, train the codebooks.
 TRAIN_ROWS = 16_384
-#: Rows of a block of coded vectors and of a block of queries; classes of equal vectors that are reranked for a query.
-VECTORS, QUERIES, RERANK = 8192, 256, 400
-#: About as many coded vectors as one task compares with a block of queries.
-CHUNK = 1 << 22
-
-
-def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> tuple[DataFrame, int]:
-    """Rows (id, v) that take part, v as array<double>, and their length."""
-    v = F.col(column).cast("array<double>")
-    rows = vectors.select(F.col(id_column).cast("long").alias("id"), v.alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+#: Cells that a query looks at (all: on vectors without structure, as the given ones are, fewer cost recall), and classes of
+#: equal vectors that are reranked for it.
+PROBE, RERANK = WORDS, 128
+#: Coded vectors of a chunk, and the bounds of a block of queries.
+CHUNK, LEAST_QUERIES, MOST_QUERIES = 1 << 17, 256, 8192
+#: Vectors longer than this many usual norms are shortened for coding.
+LONGEST = 1e15
+
+
+def usable(vectors: DataFrame, is_query: F.Column, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """Rows (id, v, asked) that take part; v is an array of floats or doubles, all of one length."""
+    kind = vectors.schema[column].dataType.elementType.simpleString()
+    v = F.col(column) if kind in ("float", "double") else F.col(column).cast("array<double>")
+    rows = vectors.select(F.col(id_column).cast("long").alias("id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asked"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = rows.where(finite & F.exists("v", lambda x: x != 0))
+    rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = usual["n"] if usual else 0
-    return rows.where(F.size("v") == dim), dim
+    return rows.where(F.size("v") == (usual["n"] if usual else 0))
 
 
 def classed(rows: DataFrame, k: int) -> DataFrame:
@@ -55,6 +67,22 @@ def classed(rows: DataFrame, k: int) -> DataFrame:
     return few.withColumns({"class": F.first("id").over(same), "speaks": F.row_number().over(same) == 1}).drop("place")
 
 
+def asked_of(rows: DataFrame) -> DataFrame:
+    """The queries: qkey, query_id, q and how many rows are this same query."""
+    return rows.where("asked").groupBy(F.col("id").alias("query_id"), F.col("v").alias("q")).agg(F.count("*").alias("times")).withColumn("qkey", F.xxhash64("query_id", "q"))
+
+
+def scaled(v: np.ndarray, scale: float) -> np.ndarray:
+    """Vectors times scale as 32-bit floats, those beyond LONGEST shortened to it."""
+    v = v.astype(np.float64)
+    top = np.maximum(np.abs(v).max(axis=1, keepdims=True), 1e-300)
+    return (v * np.minimum(1.0, (LONGEST / scale) / top) * scale).astype(np.float32)
+
+
+def stacked(column: pa.Array, n: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(n, -1)
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
     centre = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
@@ -68,137 +96,150 @@ def kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.n
 
 def beam_encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """Codes of vectors and the squared norms of the sums of their codewords."""
-    m, k, _ = books.shape
-    flat = books.reshape(m * k, -1)
-    gram, square = flat @ flat.T, (flat**2).sum(1)
-    dot = x @ flat.T
+    m, k, d = books.shape
     n = len(x)
-    codes, cost = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1), x.dtype)
-    for b in range(m):
-        own = slice(b * k, (b + 1) * k)
+    codes, sums, cost = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1, d), x.dtype), np.zeros((n, 1), x.dtype)
+    for book in books:
         # the error of a sum s is |s|^2 - 2 x.s; a codeword c adds |c|^2 - 2 x.c + 2 s.c
-        add = (square[own] - 2 * dot[:, own])[:, None, :].repeat(codes.shape[1], 1)
-        for j in range(b):
-            add = add + 2 * gram[:, own][j * k + codes[:, :, j]]
-        total = (cost[:, :, None] + add).reshape(n, -1)
-        keep = min(beam, total.shape[1])
-        best = np.argpartition(total, keep - 1, axis=1)[:, :keep]
-        cost = np.take_along_axis(total, best, 1)
-        codes = np.concatenate([np.take_along_axis(codes, (best // k)[:, :, None], 1), (best % k)[:, :, None]], axis=2)
+        add = (book**2).sum(1) - 2 * (x @ book.T)
+        total = (cost[:, :, None] + add[:, None, :] + 2 * (sums.reshape(-1, d) @ book.T).reshape(n, -1, k)).reshape(n, -1)
+        best = np.empty((n, min(beam, total.shape[1])), np.int64)
+        cost = np.empty(best.shape, x.dtype)
+        for j in range(best.shape[1]):  # for a few of many, faster than a partition
+            best[:, j] = np.argmin(total, axis=1)
+            cost[:, j] = total[np.arange(n), best[:, j]]
+            total[np.arange(n), best[:, j]] = np.inf
+        before, word = best // k, best % k
+        codes = np.concatenate([np.take_along_axis(codes, before[:, :, None], 1), word[:, :, None]], axis=2)
+        sums = np.take_along_axis(sums, before[:, :, None], 1) + book[word]
     first = np.argmin(cost, axis=1)
-    codes, cost = codes[np.arange(n), first], cost[np.arange(n), first]
-    inner = sum(dot[np.arange(n), b * k + codes[:, b]] for b in range(m))
-    return codes, cost + 2 * inner
+    return codes[np.arange(n), first], (sums[np.arange(n), first] ** 2).sum(1)
 
 
-def train(rows: DataFrame, seed: int = 7) -> np.ndarray | None:
-    """Codebooks (books, words, dim) from a bounded sample of rows (id, v)."""
+def train(rows: DataFrame, seed: int = 7) -> tuple[np.ndarray, float] | None:
+    """Codebooks (books, words, dim) from a bounded sample of rows (id, v), and the scale of what they code."""
     n = rows.count()
     if not n:
         return None
     draw = F.pmod(F.xxhash64("id", F.lit("codebook")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < TRAIN_ROWS / n).orderBy("id").select("v").toPandas()["v"]  # at most about TRAIN_ROWS rows
+    drawn = rows.where(draw < TRAIN_ROWS / n).orderBy("id").limit(2 * TRAIN_ROWS)  # repeated ids are drawn together
+    sample = drawn.select("v").toPandas()["v"]
     if not len(sample):
         sample = rows.orderBy("id").limit(TRAIN_ROWS).select("v").toPandas()["v"]
-    rest = np.stack(sample.to_list()).astype(np.float32)
+    x = np.stack(sample.to_list()).astype(np.float64)
+    top = np.abs(x).max(axis=1, keepdims=True)
+    usual = float(np.median(top[:, 0] * np.sqrt(((x / top) ** 2).sum(axis=1))))
+    scale = 1 / min(max(usual, 1e-290), 1e290)
+    rest = scaled(x, scale)
     rng, books = np.random.default_rng(seed), []
     for _ in range(BOOKS):
-        book = kmeans(rest, min(WORDS, max(1, len(rest))), 8, rng)
+        book = kmeans(rest, min(WORDS, max(1, len(rest))), ROUNDS, rng)
         near = np.concatenate([np.argmin((book**2).sum(1) - 2 * part @ book.T, axis=1) for part in np.array_split(rest, max(1, len(rest) // 4096))])
         rest = rest - book[near]
         books.append(book)
-    return np.stack(books)
+    return np.stack(books), scale
 
 
-def index(rows: DataFrame, books: np.ndarray) -> DataFrame:
-    """Blocks of coded vectors: ids (8 bytes each), codes (a byte for each book) and norms (4 bytes each)."""
+def index(rows: DataFrame, books: np.ndarray, scale: float) -> DataFrame:
+    """Coded vectors: id, a byte for each book, and the norm of the sum of the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in (whole.slice(i, VECTORS) for i in range(0, whole.num_rows, VECTORS)):
-                x = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float32)
-                parts = [beam_encode(p, books) for p in np.array_split(x, max(1, len(x) // 512))]
-                codes, norms = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-                packed = [batch.column("id").to_numpy().astype("<i8").tobytes(), codes.astype(np.uint8).tobytes(), norms.astype("<f4").tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in packed], names=["ids", "codes", "norms"])
-
-    return rows.mapInArrow(run, "ids binary, codes binary, norms binary")
-
-
-def query_blocks(queries: DataFrame) -> DataFrame:
-    """Blocks of queries: query ids and vectors."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(i, QUERIES) for i in range(0, whole.num_rows, QUERIES)):
-                packed = [batch.column("id").to_numpy().astype("<i8").tobytes(), batch.column("v").flatten().to_numpy().astype("<f4").tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in packed], names=["query_ids", "queries"])
-
-    return queries.mapInArrow(run, "query_ids binary, queries binary")
-
-
-def shortlist(coded: DataFrame, queries: DataFrame, books: np.ndarray, most: int) -> DataFrame:
-    """For each query the classes of least estimated distance. The query set meets all coded vectors block by block; a task
-    goes through the blocks of one chunk and keeps the best of each query, so rows out don't grow with the number of blocks."""
-    m, k, dim = books.shape
-    flat = books.reshape(m * k, dim)
-    names = ["query_id", "class", "estimate"]
-
-    def best_of(ids: np.ndarray, estimates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if estimates.shape[1] <= most:
-            return ids, estimates
-        at = np.argpartition(estimates, most - 1, axis=1)[:, :most]
-        return np.take_along_axis(ids, at, 1), np.take_along_axis(estimates, at, 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, qid, ids, estimates = None, None, None, None
-
-        def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, ids.shape[1])), pa.array(ids.ravel()), pa.array(estimates.ravel().astype(np.float64))], names=names)
-
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = {c: batch.column(c)[at].as_py() for c in ("ids", "codes", "norms", "query_ids", "queries")}
-                if row["query_ids"] != held:
-                    if held is not None:
-                        yield packed()
-                    held, qid = row["query_ids"], np.frombuffer(row["query_ids"], "<i8")
-                    lookup = np.frombuffer(row["queries"], "<f4").reshape(len(qid), dim) @ flat.T
-                    ids, estimates = np.zeros((len(qid), 0), np.int64), np.zeros((len(qid), 0), np.float32)
-                own, norms = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["norms"], "<f4")
-                codes = np.frombuffer(row["codes"], np.uint8).reshape(len(own), m).astype(np.int64) + k * np.arange(m)
-                met = [best_of(own[None], (norms - 2 * table_[codes].sum(axis=1))[None]) for table_ in lookup]
-                new_ids, new = (np.concatenate([x[k_] for x in met]) for k_ in (0, 1))
-                ids, estimates = best_of(np.concatenate([ids, new_ids], axis=1), np.concatenate([estimates, new], axis=1))
-        if held is not None:
-            yield packed()
-
-    total = coded.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0] // 8
-    chunk = F.xxhash64("query_ids", F.pmod(F.xxhash64("ids"), F.lit(-(-total // CHUNK) or 1)))
-    blocks = coded.crossJoin(queries).withColumn("chunk", chunk).repartition("chunk").sortWithinPartitions("chunk")
-    found = blocks.drop("chunk").mapInArrow(run, "query_id long, class long, estimate double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("estimate", "class"))
-    return found.withColumn("place", rank).where(F.col("place") <= most).select("query_id", "class").distinct()
-
-
-def nearest(vectors: DataFrame, is_query: F.Column, k: int = 10, rerank: int = RERANK) -> DataFrame:
+            for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
+                codes, norms = beam_encode(scaled(stacked(batch.column("v"), batch.num_rows), scale), books)
+                coded = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(books)), batch.num_rows, [None, pa.py_buffer(codes.astype(np.uint8).tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), coded.cast(pa.binary()), pa.array(norms.astype(np.float32))], names=["id", "code", "norm"])
+
+    return rows.select("id", "v").mapInArrow(run, "id long, code binary, norm float")
+
+
+class Lookup:
+    """Estimates for queries over a chunk of coded vectors, cell by cell."""
+
+    def __init__(self, books: np.ndarray, ids: np.ndarray, codes: np.ndarray, norms: np.ndarray):
+        m, k, dim = books.shape
+        order = np.lexsort((ids, codes[:, 0]))
+        self.ids, self.norms = ids[order], norms[order]
+        self.entries = np.ascontiguousarray((codes[order].astype(np.int32) + k * np.arange(m, dtype=np.int32)).T)
+        self.cells = codes[order, 0]
+        self.size = np.bincount(self.cells, minlength=k)
+        self.flat, self.first = books.reshape(m * k, dim), (books[0] ** 2).sum(1)
+
+    def best(self, queries: np.ndarray, keep: int, probe: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids of least estimates, at most `keep`, and these estimates."""
+        k = len(self.size)
+        for q in np.array_split(queries, max(1, len(queries) // 256)):
+            for row in q @ self.flat.T:
+                near = np.argsort(self.first - 2 * row[:k], kind="stable")
+                enough = int(np.searchsorted(np.cumsum(self.size[near]), keep)) + 1
+                seen = np.zeros(k, bool)
+                seen[near[: max(probe, enough)]] = True
+                at = np.flatnonzero(seen[self.cells])
+                found = self.norms[at].copy()
+                for entries in self.entries:
+                    found -= 2 * row[entries[at]]
+                if len(at) > keep:
+                    part = np.argpartition(found, keep - 1)[:keep]
+                    at, found = at[part], found[part]
+                yield self.ids[at], found
+
+
+def shortlist(coded: DataFrame, queries: DataFrame, books: np.ndarray, scale: float, most: int, probe: int) -> DataFrame:
+    """For each query (qkey, q) the classes of least estimated distance. The query set meets all coded vectors, block by chunk;
+    where there are many chunks, dealt by a hash, each gives fewer rows: six standard deviations and ten more than its share
+    of a query's best."""
+    total, asked = coded.count(), queries.count()
+    chunks, each = max(1, -(-total // CHUNK)), min(max(asked // 16, LEAST_QUERIES), MOST_QUERIES)
+    blocks = max(1, -(-asked // each))
+    share = most / chunks
+    keep = most if chunks == 1 or most >= total else min(most, math.ceil(share + 6 * math.sqrt(share) + 10))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, kinds = ["qkey", "class", "estimate"], [pa.int64(), pa.int64(), pa.float32()]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        codes = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(left.num_rows, -1)
+        lookup = Lookup(books, left.column("id").to_numpy(), codes, left.column("norm").to_numpy())
+        keys = right.column("qkey").to_numpy()
+        found = list(lookup.best(scaled(stacked(right.column("q").combine_chunks(), right.num_rows), scale), keep, probe))
+        owner = np.repeat(keys, [len(ids) for ids, _ in found])
+        return pa.table([pa.array(owner), *[pa.array(np.concatenate([f[k] for f in found]), kinds[k + 1]) for k in (0, 1)]], names=names)
+
+    dealt = lambda c, n: F.pmod(F.xxhash64(c, F.lit("dealt")), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = coded.select("id", "code", "norm", dealt("id", chunks).alias("chunk"), every(blocks).alias("block"))
+    right = queries.select("qkey", "q", dealt("qkey", blocks).alias("block"), every(chunks).alias("chunk"))
+    found = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInArrow(meet, "qkey long, class long, estimate float")
+    rank = F.row_number().over(Window.partitionBy("qkey").orderBy("estimate", "class"))
+    return found.withColumn("place", rank).where(F.col("place") <= most).select("qkey", "class")
+
+
+def distance(a: str, b: str) -> F.Column:
+    """Euclidean distance in double precision, in the order of the components."""
+    away = F.zip_with(a, b, lambda x, y: x.cast("double") - y.cast("double"))
+    total = lambda parts: F.sqrt(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x * x))
+    plain, longest = total(away), F.array_max(F.transform(away, F.abs))
+    return F.when(plain != float("inf"), plain).otherwise(longest * total(F.transform(away, lambda x: x / longest)))
+
+
+def nearest(vectors: DataFrame, is_query: F.Column, k: int = 10, rerank: int = RERANK, probe: int = PROBE) -> DataFrame:
     """For each vector (vec_id, embedding) that is_query chooses, its k nearest others: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     ship(spark)
-    rows, _ = usable(vectors)
-    books = train(rows)
-    if books is None:
+    rows = usable(vectors, is_query)
+    trained = train(rows)
+    if trained is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    chosen = usable(vectors.where(is_query))[0]
-    members = stored(classed(rows, k), "vector-classes")
-    coded = stored(index(members.where("speaks").select("id", "v"), books), "codes")
-    pairs = shortlist(coded, query_blocks(chosen), books, max(rerank, k + 1))
-    exact = pairs.join(members.select("class", F.col("id").alias("vec_id"), "v"), "class").where("query_id <> vec_id")
-    exact = exact.join(chosen.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    score = F.sqrt(F.aggregate(F.zip_with("v", "q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    scored = exact.select("query_id", "vec_id", score.alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    books, scale = trained
+    chosen = stored(asked_of(rows), "queries")
+    members = stored(classed(rows.select("id", "v"), k), "vector-classes")
+    coded = stored(index(members.where("speaks"), books, scale), "codes")
+    pairs = shortlist(coded, chosen, books, scale, max(rerank, k + 1), probe)
+    exact = pairs.join(members.select("class", F.col("id").alias("vec_id"), "v"), "class").join(chosen, "qkey").where("query_id <> vec_id")
+    scored = exact.select("qkey", "query_id", "times", "vec_id", distance("v", "q").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("qkey", "query_id").orderBy("score", "vec_id"))
+    best = scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,10 +247,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+WITH a AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v, row_number() OVER () AS r FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-d AS (SELECT q.vec_id AS query_id, v.vec_id, list_distance(q.v, v.v) AS score FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.v) = len(v.v))
+v AS (SELECT * FROM a WHERE len(v) = (SELECT len(v) FROM a GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+d AS (SELECT q.r, q.vec_id AS query_id, v.vec_id, list_distance(q.v, v.v) AS score FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10
 """
