@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -15,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_WRITTEN: list[str] = []
+_OWN: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,19 +40,74 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; a temporary one where that is unset."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share. Where that is unset, a temporary one, which
+    only a local master may use: executors of a cluster don't see it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = getattr(shared_dir, "own", None) or "file://" + tempfile.mkdtemp(prefix="evidra-shared-")
-        shared_dir.own = base
-    return f"{base.rstrip('/')}/evidra-{name}-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="evidra-shared-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        base = "file://" + _OWN[0]
+    path = f"{base.rstrip('/')}/evidra-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The rows of df, written as Parquet to the shared folder and read back: lineage ends here and work is done once."""
     path = shared_dir(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._evidra_path = path
+    return out
+
+
+def _deleted(path: str) -> None:
+    fs, inside = filesystem(path)
+    if fs.get_file_info(inside).type == pafs.FileType.Directory:
+        fs.delete_dir(inside)
+
+
+def released(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    path = getattr(df, "_evidra_path", None)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        _deleted(path)
+
+
+def clear() -> None:
+    """Delete all that this process has written to shared folders; results not yet written or collected are lost with it."""
+    while _WRITTEN:
+        _deleted(_WRITTEN.pop())
+
+
+#: A table is broadcast only if it has at most this many rows of a few numbers (elements of lists count as rows), and joined by
+#: shuffle otherwise: about 32 MB.
+BROADCAST_ROWS = 500_000
+#: Parts that rows of one key are dealt into for such a join.
+SALTS = 16
+
+
+def is_small(df: DataFrame, lists: str | None = None) -> bool:
+    size = F.count("*") + (F.coalesce(F.sum(F.size(lists).cast("long")), F.lit(0)) if lists else F.lit(0))
+    return df.agg(size).first()[0] <= BROADCAST_ROWS
+
+
+def small(df: DataFrame, lists: str | None = None) -> DataFrame:
+    """A stored table, marked for broadcast if it is small; `lists` names a column of lists."""
+    return F.broadcast(df) if is_small(df, lists) else df
+
+
+def met(rows: DataFrame, few: DataFrame, key: str, spread: str, how: str = "inner", fits: bool | None = None) -> DataFrame:
+    """rows joined with a stored table of unique keys: by broadcast if that is small (`fits`, if known), else by shuffle, rows of
+    one key dealt into SALTS parts by a hash of the column `spread`, so that a hot key is no single task."""
+    if is_small(few) if fits is None else fits:
+        return rows.join(F.broadcast(few), key, how)
+    dealt = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(dealt, [key, "_salt"], how).drop("_salt")
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
