@@ -2,17 +2,26 @@
 
 Grades 0 < 1 < ... share one weight for each word; the chance of a grade of k or more is sigmoid(w.x - threshold_k) with
 thresholds in ascending order. The expected severity is the sum of these chances. It is fitted by full-batch gradient steps
-on a bounded sample of labelled documents (chosen by a hash of doc_id), whose features are first sifted on the executors: one
-stays if it occurs in several documents and its share among graded ones exceeds that among the others clearly. Where the
-labels only say toxic or not, toxic documents with more of these features than their median are graded 2.
-
-Null text, or text without letters: severity 0, grade 0. Without labels of two grades every severity is 0. Repeated
-doc_ids are scored each for itself; labels of a doc_id repeat: the highest grade counts. Null labels are left out. Columns
-other than those named are ignored; an empty table gives no rows.
+on a bounded sample of labelled documents (chosen by a hash of doc_id), whose features are first sifted on the executors.
+There are as many thresholds as the labels have grades above 0; where they only say toxic or not, that is one threshold, and
+the severity is the chance of being toxic.
+
+A feature stays if that many of its documents would be graded by chance in fewer than one of all features: with p the share
+of graded documents and a that among the feature's df documents, if df * KL(a, p) >= ln(number of features in two documents
+or more). So the rule asks for more in a large sample, which tests more features, and for as little as it can in a small one:
+there, some five documents that are all graded will do. Where no feature stays, as in a sample of a few documents, nothing
+can be learned and every severity is 0.
+
+Null text, or text without letters: severity 0, grade 0. Very long texts are read whole; a feature counts once a text.
+Without labels of two grades every severity is 0. Ties: a chance of just one half counts as reached. Repeated doc_ids are
+scored each for itself; to learn from, of a repeated doc_id the smallest text counts; labels of a doc_id repeat: the highest
+grade counts. Null labels are left out. `score` ignores columns other than those named; `judged` keeps them, and columns
+named as its own go. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,10 +35,6 @@ from evidra.llm.common import ship, stored, table, with_columns
 
 #: At most about this many labelled documents are learned from.
 TRAIN_ROWS = 20_000
-#: At most this many words get a weight.
-WORDS = 20_000
-LEAST_DOCUMENTS = 6
-LEAST_Z = 6.0
 STEPS = 600
 WORD = re.compile(r"[^\W\d_]+")
 #: Beginnings of words of these lengths are features too, so that inflected and compound forms share weights.
@@ -95,6 +100,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     chosen = labels.where(draw < train_rows / max(total, 1))  # at most about train_rows rows of two numbers
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"))  # one row a doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,26 +113,28 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     if not n1 or n1 == n:
         return Model()
     words = sample.select("grade", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"), F.sum((F.col("grade") > 0).cast("long")).alias("df1"))
-    share = F.col("df") / n
-    z = (F.col("df1") / n1 - (F.col("df") - F.col("df1")) / (n - n1)) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1)) + 1e-12)
-    kept = words.where(F.col("df") >= LEAST_DOCUMENTS).select("word", z.alias("z")).where(F.col("z") >= LEAST_Z)
-    vocabulary = [r["word"] for r in kept.orderBy(F.desc("z"), "word").limit(WORDS).collect()]
+    words = stored(words.where("df >= 2").select("word", surprise(F.col("df"), F.col("df1"), n1 / n).alias("surprise")), "toxicity-words")
+    bound = math.log(max(words.count(), 2))
+    vocabulary = [r["word"] for r in words.where(F.col("surprise") >= bound).orderBy(F.desc("surprise"), "word").select("word").collect()]  # of the sample
     if not vocabulary:
         return Model()
     wanted = docs.sparkSession.createDataFrame(list(enumerate(vocabulary)), "index long, word string")
-    met = sample.select(F.monotonically_increasing_id().alias("row"), "grade", "words")
-    hits = met.select("row", F.explode("words").alias("word")).join(F.broadcast(wanted), "word").groupBy("row").agg(F.sort_array(F.collect_list("index")).alias("index"))
-    rows = met.select("row", "grade").join(hits, "row", "left").select("grade", "index").collect()  # at most about train_rows short rows
+    hits = sample.select("doc_id", F.explode("words").alias("word")).join(F.broadcast(wanted), "word").groupBy("doc_id").agg(F.sort_array(F.collect_list("index")).alias("index"))
+    rows = sample.select("doc_id", "grade").join(hits, "doc_id", "left").select("grade", "index").collect()  # at most about train_rows short rows
     met_by = [np.array(r["index"] or [], np.int64) for r in rows]
     grades = np.array([r["grade"] for r in rows])
-    if grades.max() == 1:  # labels tell toxic or not: those with more than the usual number of features are the severe ones
-        size = np.array([len(m) for m in met_by])
-        grades[(grades == 1) & (size > max(1.0, float(np.median(size[grades == 1]))))] = 2
     order = sorted(range(len(rows)), key=lambda i: (grades[i], met_by[i].tolist()))
     weights, thresholds = fit_cumulative([met_by[i] for i in order], grades[order], len(vocabulary))
     return Model(dict(zip(vocabulary, weights.tolist())), thresholds.tolist())
 
 
+def surprise(df: F.Column, df1: F.Column, p: float) -> F.Column:
+    """df * KL(df1 / df, p), the least it takes in nats, where the share is over p; else 0."""
+    a = df1 / df
+    part = lambda x, y: F.when(x > 0, x * F.ln(x / y)).otherwise(0.0)
+    return F.when(a > p, df * (part(a, F.lit(p)) + part(1 - a, F.lit(1 - p)))).otherwise(0.0)
+
+
 def judged(docs: DataFrame, model: Model) -> DataFrame:
     """docs with severity, p_toxic, grade and toxic (p_toxic of one half or more) after their columns."""
 
