@@ -8,7 +8,8 @@ surroundings, so each distinct run is encoded once for a batch and kept in a bou
 Decoding reverses the byte table: the bytes of all ids are joined before any character is read, so characters split
 between tokens come back whole; `decoded_text` replaces bytes that form no character by U+FFFD.
 
-Null or empty text: no ids, no bytes. Columns other than doc_id and text are ignored; repeated rows give repeated results.
+Null or empty text: no ids, no bytes. Very long texts are encoded whole. Ties between merges go to the lower rank. Columns other
+than doc_id and text, whatever their names, are ignored; repeated rows give repeated results; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -64,13 +65,16 @@ class ByteBpe:
         self.table = [b""] * (max(ranks.values()) + 1)
         for t, i in ranks.items():
             self.table[i] = bytes(back[c] for c in shown[t])
+        import public_tokenizers
+
+        self.by_run = pattern == public_tokenizers.PATTERN  # what RUNS is true of; by any other pattern texts are encoded whole
         self.limit = limit
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit bytes."""
-        split = [RUNS.findall(t) for t in texts]
+        split = [RUNS.findall(t) for t in texts] if self.by_run else [[t] if t else [] for t in texts]
         wanted = set().union(*split)
         missing = wanted - self.cache.keys()
         if len(self.cache) + len(missing) > self.limit:

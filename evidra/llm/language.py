@@ -8,7 +8,8 @@ distance wins, the alphabetically first on a tie.
 N-grams are of lower-cased letters; everything else is one space. Equal counts rank by length, then code points.
 
 Null text or text without a letter: `und`, score 0; likewise every text where no labelled document was given. A null doc_id
-counts as not held out. An empty table gives no rows; columns other than those named are ignored.
+counts as not held out. Very long texts are counted whole; a repeated row is predicted again. An empty
+table gives no rows; `predict` ignores columns other than those named, `judged` keeps them, and those named as its own go.
 """
 
 from __future__ import annotations

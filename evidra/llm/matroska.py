@@ -4,8 +4,9 @@
 variable length (unknown sizes, void and CRC elements, SimpleBlocks and BlockGroups, Xiph, EBML and fixed-size lacing)
 into packets (track, timestamp, key frame, byte range) and cues. The bytes depend on the samples alone.
 
-Null or empty text: 64 zero samples. Equal texts give equal bytes. A malformed file has no packets and an error instead.
-An empty table gives no rows; columns other than those named are ignored.
+Null or empty text: 64 zero samples. Equal texts give equal bytes, so ties don't arise and repeated rows give repeated results. A
+very long text is one file of many clusters, held by one task. A null or malformed file has no packets and an error instead; its
+payload and features are null. An empty table gives no rows; columns other than those named, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -220,55 +221,77 @@ def media_column(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def packet_table(media: DataFrame) -> DataFrame:
-    """A row for each packet of each file (doc_id, media): packet, track, timestamp_ns, key_frame, byte_offset, n_bytes; a
-    malformed file has one row with its error."""
+PACKET = pa.struct([("track", pa.int32()), ("timestamp_ns", pa.int64()), ("key_frame", pa.bool_()), ("byte_offset", pa.int64()), ("n_bytes", pa.int64())])
+
+
+def with_packets(media: DataFrame) -> DataFrame:
+    """Files (doc_id, n_bytes, media) with their packets, an array of structs, and the error of those that have none."""
     ship(media.sparkSession)
+    names = ["doc_id", "n_bytes", "media", "packets", "error"]
+
+    def parsed(data: bytes | None) -> tuple[list[dict] | None, str | None]:
+        if data is None:
+            return None, "no media"
+        try:
+            return [dict(zip(PACKET.names, p)) for p in demux(data)[0]], None
+        except (ValueError, IndexError, struct.error, StopIteration) as e:
+            return None, str(e) or type(e).__name__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "packet", "track", "timestamp_ns", "key_frame", "byte_offset", "n_bytes", "error"]
-        for batch in batches:
-            rows = []
-            for doc, data in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist()):
-                try:
-                    rows += [(doc, k, *p, None) for k, p in enumerate(demux(data or b"")[0])]
-                except (ValueError, IndexError, struct.error, StopIteration) as e:
-                    rows.append((doc, None, None, None, None, None, None, str(e)))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.string()]
-            columns = list(zip(*rows)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
-
-    schema = "doc_id long, packet int, track int, timestamp_ns long, key_frame boolean, byte_offset long, n_bytes long, error string"
-    return media.select("doc_id", "media").mapInArrow(run, schema)
+        for whole in batches:
+            for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
+                found = [parsed(x) for x in batch.column("media").to_pylist()]
+                added = [pa.array([p for p, _ in found], pa.list_(PACKET)), pa.array([e for _, e in found], pa.string())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *added], names=names)
+
+    packet = "array<struct<track:int,timestamp_ns:bigint,key_frame:boolean,byte_offset:bigint,n_bytes:bigint>>"
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id long, n_bytes long, media binary, packets {packet}, error string")
+
+
+def packet_table(media: DataFrame) -> DataFrame:
+    """A row for each packet of each file (doc_id, media): packet, track, timestamp_ns, key_frame, byte_offset, n_bytes; a
+    null or malformed file has one row with its error."""
+    sized = media.select("doc_id", F.lit(None).cast("long").alias("n_bytes"), "media")
+    rows = with_packets(sized).select("doc_id", "error", F.posexplode_outer("packets").alias("packet", "p"))
+    return rows.select("doc_id", "packet", *[F.col(f"p.{c}") for c in PACKET.names], "error")
 
 
 def feature(samples: np.ndarray, packets: int) -> str:
     """Integer features of 8-bit samples: packets, sum, sum of squares, crossings of the middle, highest, distinct values."""
     x = samples.astype(np.int64)
+    if not len(x):
+        return f"packets={packets};sum=0;squares=0;crossings=0;max=0;distinct=0"
     crossings = int(np.count_nonzero(np.diff(samples >= 128)))
     return f"packets={packets};sum={int(x.sum())};squares={int((x * x).sum())};crossings={crossings};max={int(x.max())};distinct={len(np.unique(samples))}"
 
 
-def media_features(media: DataFrame) -> DataFrame:
-    """Files (doc_id, n_bytes, media), their packets read back, as payload and media digests and a feature string."""
-    ship(media.sparkSession)
-    out = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+def media_features(files: DataFrame) -> DataFrame:
+    """Files with_packets, their packets' byte ranges read back, as payload and media digests, a feature string, the number of
+    packets, the time of the last one and the error."""
+    ship(files.sparkSession)
+    out = (
+        "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
+        "feature string, n_packets long, last_timestamp_ns long, error string"
+    )
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
     names = [x.split()[0] for x in out.split(", ")]
 
+    def row(doc: int | None, n: int | None, data: bytes | None, packets: list[dict] | None, error: str | None) -> tuple:
+        whole = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+        if not packets:
+            return (doc, n, None, None, None, *whole, None, None, None, error or "no packets")
+        payload = b"".join([data[p["byte_offset"] : p["byte_offset"] + p["n_bytes"]] for p in packets])
+        told = feature(np.frombuffer(payload, np.uint8), len(packets))
+        return (doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *whole, told, len(packets), packets[-1]["timestamp_ns"], error)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, n, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media"))):
-                packets, _ = demux(data)
-                payload = b"".join([data[p[3] : p[3] + p[4]] for p in packets])
-                samples = np.frombuffer(payload, np.uint8)
-                rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature(samples, len(packets))))
-            columns = list(zip(*rows)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+        for whole in batches:
+            for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
+                rows = [row(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media", "packets", "error")))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(names), kinds)], names=names)
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, out)
+    return files.mapInArrow(run, out)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_features(stored(media_column(table(spark, sf_dir, "documents")), "media"))
+    return media_features(with_packets(stored(media_column(table(spark, sf_dir, "documents")), "media")))

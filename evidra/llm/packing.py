@@ -13,7 +13,7 @@ The plan says for each length which ranks go to which sequences and offsets. Ran
 length are dealt into about sqrt(count) buckets, numbered within them and shifted by the buckets before, so that a length
 that a third of all pieces share is no single group.
 
-Null or empty text: one piece with the end id only. Repeated rows and ties are packed each for itself. An empty table
+Null or empty text: one piece with the end id only. A very long text is encoded whole by one task and cut into pieces. Repeated rows and ties are packed each for itself. An empty table
 gives no rows. Columns other than doc_id and text are ignored. A null doc_id is carried through.
 """
 

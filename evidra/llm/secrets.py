@@ -5,7 +5,8 @@ a segment: its postings, bitmaps by trigram, are built for the trigrams that som
 unites them, and the expression runs over the candidates only. A rule without mandatory trigrams scans all texts. Trigrams
 are of UTF-8 bytes with A-Z lower-cased, so queries hold for expressions in either case.
 
-Null or empty text: no spans. Repeated rows give repeated results; an empty table gives none; columns other than doc_id and
+Null or empty text: no spans. Very long texts are scanned whole. Spans that begin together are ordered by rule; `scan_documents` keeps
+other columns, but those named as its own go. Repeated rows give repeated results; an empty table gives none; columns other than doc_id and
 text are ignored. Spans are code points, the end exclusive, of whole matches; matches of a rule don't overlap.
 """
 

@@ -3,14 +3,14 @@
 A file is a run of records, each `length (8 bytes, little-endian) | masked CRC-32C of the length (4) | payload | masked
 CRC-32C of the payload (4)`, the framing that TensorFlow's record files use. A payload is a 16-byte head (bytes per id,
 whether there is a doc_id, 6 bytes 0, doc_id) and the ids, 2 bytes each where the vocabulary allows it, otherwise 4.
-The index, a Parquet table, has a row for each record: its file, offset and number of ids, so that a reader can fetch
-records in any order.
+The index, a Parquet table, has a row for each record: its file, offset, length and number of ids, so that a reader can fetch
+records in any order; those that lie together are read together.
 
 A task writes its range of doc_ids to a file of its own name; the index rows of the attempt that Spark commits name the
 files that count, so a lost executor or a second attempt leaves no trace in the result.
 
-Null or empty text: a record with the end id only. Repeated doc_ids: a record each, in the order of their texts. Null
-doc_ids come first. An empty table gives no records. Columns other than doc_id and text are ignored.
+Null or empty text: a record with the end id only. A very long text is one record, held by one task. Repeated doc_ids: a record each, in the order of their texts. Null
+doc_ids come first. An empty table gives no records. Columns other than doc_id and text, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
 LANE = 128
 HEAD = 16
-INDEX = "doc_id long, file string, record_offset long, n_tokens long, start_in_file long, ordinal long"
+#: Bytes of one read of neighbouring records.
+READ_BYTES = 8 << 20
+INDEX = "doc_id long, file string, record_offset long, record_bytes long, n_tokens long, start_in_file long, ordinal long"
 
 
 def _tables() -> tuple[np.ndarray, list[np.ndarray]]:
@@ -131,8 +133,8 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
             stream.write(raw)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [doc.cast(pa.int64()), pa.array([name] * k, pa.string()), pa.array(offset[:-1] + written), pa.array(np.diff(bounds)), pa.array(bounds[:-1] + ids_before), pa.array(np.arange(count, count + k))],
-                names=["doc_id", "file", "record_offset", "n_tokens", "start_in_file", "ordinal"],
+                [doc.cast(pa.int64()), pa.array([name] * k, pa.string()), pa.array(offset[:-1] + written), pa.array(np.diff(offset)), pa.array(np.diff(bounds)), pa.array(bounds[:-1] + ids_before), pa.array(np.arange(count, count + k))],
+                names=["doc_id", "file", "record_offset", "record_bytes", "n_tokens", "start_in_file", "ordinal"],
             )
             written, ids_before, count = written + len(raw), ids_before + int(bounds[-1]), count + k
         if stream is not None:
@@ -142,6 +144,21 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
     return stored(ordered.mapInArrow(write, INDEX), "record-index")
 
 
+def runs(files: list[str], offsets: list[int], sizes: list[int]) -> Iterator[tuple[str, int, list[int]]]:
+    """Records that lie one behind the other in a file, as one read (file, offset, sizes) of about READ_BYTES at most."""
+    file, first, run, end = None, 0, [], 0
+    for name, offset, size in zip(files, offsets, sizes):
+        if run and (name != file or offset != end or end + size - first > READ_BYTES):
+            yield file, first, run
+            run = []
+        if not run:
+            file, first = name, offset
+        run.append(size)
+        end = offset + size
+    if run:
+        yield file, first, run
+
+
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records that rows of an index name, in any order: the index's columns and ids, checked against both checksums."""
     ship(index.sparkSession)
@@ -153,13 +170,15 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
         for whole in batches:
             for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
                 found, docs = [], []
-                for name, offset, n in zip(batch.column("file").to_pylist(), batch.column("record_offset").to_pylist(), batch.column("n_tokens").to_pylist()):
+                for name, offset, sizes in runs(*(batch.column(c).to_pylist() for c in ("file", "record_offset", "record_bytes"))):
                     if name != open_name:
                         if source is not None:
                             source.close()
                         open_name, source = name, fs.open_input_file(f"{root}/{name}")
-                    size = 32 + 4 * n  # at least the whole record
-                    found.append(source.read_at(size, offset))
+                    data, at = source.read_at(sum(sizes), offset), 0
+                    for size in sizes:
+                        found.append(data[at : at + size])
+                        at += size
                 raw = np.frombuffer(b"".join(found), np.uint8)
                 at = np.cumsum([0] + [len(x) for x in found])[:-1]
                 eights = raw[(at[:, None] + np.arange(8)).ravel()].view("<i8")

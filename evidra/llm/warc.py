@@ -9,7 +9,8 @@ down; of each record the headers are parsed first, and the payload of a record t
 payload=false leaves payloads out. Archives without manifest or lengths are read too.
 
 Null html: an empty payload. Null url: no target URI; control characters in it are escaped. Null page_id: no page header.
-Rows with one page_id and equal payloads are all responses. An empty table gives no records.
+Rows with one page_id and equal payloads are all responses; of a tie there is so no other. A very long payload is one record, held
+by one task. An empty table gives no records. Columns other than page_id, url and html, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage
 
-from evidra.llm.common import filesystem, shared_dir, ship, table
+from evidra.llm.common import filesystem, met, shared_dir, ship, stored, table
 
 SCHEMA = "record_id string, record_type string, target_uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, payload binary"
 COLUMNS = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -230,14 +231,15 @@ def register(spark: SparkSession) -> None:
 
 def deduplicated(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """Pages (page_id, url, html) as record rows: of equal payloads of `least` bytes or more, all but those of the smallest
-    page_id are revisits. Digests are counted before pages move, so a payload that many pages share is one row; pages join
-    only the digests that occur twice."""
+    page_id are revisits. Digests are counted before anything moves, and only those that occur twice are met again, by broadcast
+    if they are few, else dealt out over salts; shorter payloads have no key, so they meet nothing and stay where they are dealt."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
-    shared = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    own = F.when(F.col("payload_bytes") >= least, F.col("payload_digest")).otherwise(F.concat(F.lit("short "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
+    shared = rows.where(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("key")).agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = met(rows.withColumn("key", own), stored(shared, "digests"), "key", "page_id", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    joined = rows.join(shared, "payload_digest", "left")
     return joined.select(
         "page_id", "url", "payload", "payload_digest", "payload_bytes",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"),

@@ -37,14 +37,23 @@ def test_query_reads_back_what_it_stored(spark):
         payload = raw + bytes(-len(raw) % 64)
         x = got.pop(r.doc_id)
         assert (x.n_bytes, x.payload_bytes, x.payload_sha256, x.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        data = M.mux(payload)
+        assert (x.media_bytes, x.n_packets, x.last_timestamp_ns) == (len(data), -(-len(payload) // 512), (-(-len(payload) // 512) - 1) * 64_000_000)
+        crossings = sum((a >= 128) != (b >= 128) for a, b in zip(payload, payload[1:]))
+        told = {"packets": -(-len(payload) // 512), "sum": sum(payload), "squares": sum(b * b for b in payload), "crossings": crossings, "max": max(payload), "distinct": len(set(payload))}
+        assert x.feature == ";".join(f"{k}={v}" for k, v in told.items())
         assert x.media_sha256 == hashlib.sha256(M.mux(payload)).hexdigest()
     assert not got
 
 
 def test_nulls_errors_and_empty(spark):
     docs = spark.createDataFrame([(1, None, b"x"), (1, None, b"y"), (None, "a" * 64, b"z")], "doc_id long, text string, media binary")
-    rows = M.media_features(M.media_column(docs)).collect()
+    rows = M.media_features(M.with_packets(M.media_column(docs))).collect()
     assert sorted((r.n_bytes, r.payload_bytes) for r in rows) == [(0, 64), (0, 64), (64, 64)] and len({r.media_sha256 for r in rows if r.n_bytes == 0}) == 1
     broken = M.packet_table(spark.createDataFrame([(1, b"\x1a\x45\xdf\xa3\x90"), (2, None), (3, M.mux(bytes(64)))], "doc_id long, media binary")).collect()
-    assert [(r.doc_id, r.error is None) for r in broken] == [(1, False), (3, True)]
-    assert M.media_features(M.media_column(docs.limit(0))).count() == 0
+    assert [(r.doc_id, r.error is None) for r in broken] == [(1, False), (2, False), (3, True)]
+    files = spark.createDataFrame([(1, 5, b"\x1a\x45\xdf\xa3\x90", 0), (2, 5, None, 0), (3, 64, M.mux(bytes(64)), 0), (4, 0, b"", 0)], "doc_id long, n_bytes long, media binary, feature int")
+    got = {r.doc_id: r for r in M.media_features(M.with_packets(files)).collect()}
+    assert {k: r.error for k, r in got.items() if k != 1} == {2: "no media", 3: None, 4: "no packets"} and got[1].error and got[1].feature is None
+    assert got[3].payload_bytes == 64 and got[2].media_bytes is None
+    assert M.media_features(M.with_packets(M.media_column(docs.limit(0)))).count() == 0
