@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Fixed value of the entries' format: an inline reference.
+CITATION = r"\s*\((?:PubMed|Ref\.)[^()]*\)"
+
+
 def clean(text: Column) -> Column:
     """One line: each run of white space, of any kind, as one space, none at the ends."""
     return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
@@ -13,7 +17,7 @@ def clean(text: Column) -> Column:
 
 def without_citations(text: Column) -> Column:
     """Text without inline references such as (PubMed:1, PubMed:2) or (Ref.3), on one line."""
-    return clean(F.regexp_replace(text, r"\s*\((?:PubMed|Ref\.)[^()]*\)", ""))
+    return clean(F.regexp_replace(text, CITATION, ""))
 
 
 def stripped(cell: Column) -> Column:

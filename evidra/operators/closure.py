@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, written to the checkpoint folder; a temporary one where the session names none."""
+    """df without its lineage, written to the checkpoint folder. Where the session names none, a temporary one, which only a
+    local master may use: executors of a cluster don't see it."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidra-checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="evidra-checkpoint-"))
     return df.checkpoint()
 
 

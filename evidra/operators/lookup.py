@@ -16,8 +16,8 @@ def key_check(requested: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def near_names(asked: DataFrame, names: DataFrame, within: str, least: float = 0.6, most: int = 3) -> DataFrame:
     """For each asked name (within, asked) the nearest names of the same taxon by 1 - edit distance / longer length."""
-    met = asked.join(names, within)
-    longer = F.greatest(F.length("asked"), F.length("name"))
+    longer, shorter = F.greatest(F.length("asked"), F.length("name")), F.least(F.length("asked"), F.length("name"))
+    met = asked.join(names, within).where(shorter >= (least - 1e-6) * longer)  # the distance is the difference of lengths at least
     met = met.withColumn("similarity", F.round(1 - F.levenshtein(F.col("asked"), F.lower("name")) / longer, 6)).where(F.col("similarity") >= least)
     rank = F.row_number().over(Window.partitionBy(within, "asked").orderBy(F.desc("similarity"), "name"))
     return met.withColumn("rank", rank).where(F.col("rank") <= most).select(within, "asked", "name", "similarity", "rank")
@@ -25,7 +25,7 @@ def near_names(asked: DataFrame, names: DataFrame, within: str, least: float = 0
 
 def sites(wanted: DataFrame, mature: DataFrame, entries: DataFrame) -> DataFrame:
     """Every site of wanted viral proteins (ncbi_taxon_id, name), with its entry."""
-    return mature.join(F.broadcast(wanted), ["ncbi_taxon_id", "name"], "left_semi").join(entries, "accession")
+    return mature.join(wanted, ["ncbi_taxon_id", "name"], "left_semi").join(entries, "accession")
 
 
 def observed(stable_ids: DataFrame, observations: DataFrame, entries: DataFrame) -> DataFrame:
@@ -39,6 +39,41 @@ def sequences(requested: DataFrame, sequence: DataFrame) -> DataFrame:
     return found.select("position", "accession", F.length("sequence").alias("length"), "sequence").orderBy("position")
 
 
+def first_seen(requested: DataFrame, key: str, position: str = "position") -> DataFrame:
+    """Each key once, at the first position it is asked for."""
+    return requested.groupBy(key).agg(F.min(position).alias(position))
+
+
+def host_sequences(requested: DataFrame, sequence: DataFrame) -> DataFrame:
+    """requested (position, accession), each accession once, with length, sequence and, where it is unknown, an error."""
+    found = first_seen(requested, "accession").join(sequence.select("accession", "sequence"), "accession", "left")
+    error = F.when(F.col("sequence").isNull(), F.concat(F.lit("no protein "), "accession"))
+    return found.select("position", "accession", F.length("sequence").alias("length"), "sequence", error.alias("error"))
+
+
+def viral_sites(wanted: DataFrame, mature: DataFrame, entries: DataFrame) -> DataFrame:
+    """Every site of the wanted viral proteins (ncbi_taxon_id, name), numbered in the order of accession and start: accession,
+    strain, release, start, stop, length and sequence, and the error of a protein without one."""
+    met = wanted.select("ncbi_taxon_id", "name").distinct().join(mature, ["ncbi_taxon_id", "name"], "left").join(entries, "accession", "left")
+    place = F.row_number().over(Window.partitionBy("ncbi_taxon_id", "name").orderBy("accession", "start", "stop"))
+    error = F.when(F.col("accession").isNull(), F.concat(F.lit("no protein "), "name"))
+    return met.select("ncbi_taxon_id", "name", place.alias("place"), "accession", "strain", "release", "start", "stop", F.length("sequence").alias("length"), "sequence", error.alias("error"))
+
+
+def observed_proteins(stable_ids: DataFrame, descriptions: DataFrame, observations: DataFrame, mature: DataFrame, entries: DataFrame) -> DataFrame:
+    """For each stable_id once the observed viral protein: accession, strain, release, start, stop; else an error: an unknown id,
+    one that isn't a VH description (stable_id, kind, ncbi_taxon_id, name), or an entry that holds its protein not just once."""
+    sites = mature.groupBy("accession", "ncbi_taxon_id", "name").agg(F.count("*").alias("n"), F.min(F.struct("start", "stop")).alias("at"))
+    met = stable_ids.select("stable_id").distinct().join(descriptions, "stable_id", "left").join(observations, "stable_id", "left")
+    met = met.join(sites, ["accession", "ncbi_taxon_id", "name"], "left").join(entries, "accession", "left")
+    error = (
+        F.when(F.col("kind").isNull(), "no such description").when(F.col("kind") != "VH", "not a description of a viral protein")
+        .when(F.col("n").isNull(), "no observed protein").when(F.col("n") > 1, "several places in the entry")
+    )
+    good = lambda c: F.when(error.isNull(), F.col(c)).alias(c.split(".")[-1])
+    return met.select("stable_id", *map(good, ("accession", "strain", "release", "at.start", "at.stop")), error.alias("error"))
+
+
 def text_search(docs: DataFrame, terms: list[str]) -> DataFrame:
     """Documents (doc_id, text) that hold a term, scored by the sum of (1 + ln tf) ln(1 + N / df)."""
     words = docs.select("doc_id", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where(F.col("term").isin(terms))

@@ -30,9 +30,10 @@ def precedence(curated: DataFrame, archive: DataFrame, key: str, columns: list[s
 
 
 def first_of_group(rows: DataFrame, pair: list[str], group: str, publication: str) -> DataFrame:
-    """Rows without a group, and of each pair and group all rows of its lowest publication."""
-    low = F.min(publication).over(Window.partitionBy(*pair, group))
-    return rows.withColumn("_low", low).where(F.col(group).isNull() | (F.col(publication) == F.col("_low"))).drop("_low")
+    """Rows without a group, and of each pair and group all rows of its lowest publication, by number, not by text."""
+    kind = F.struct(F.col(publication).try_cast("long").alias("number"), F.col(publication).alias("text"))
+    lowest = rows.where(F.col(group).isNotNull()).groupBy(*pair, group).agg(F.min(kind)["text"].alias("_low"))
+    return rows.join(lowest, [*pair, group], "left").where(F.col(group).isNull() | (F.col(publication) == F.col("_low"))).select(*rows.columns)
 
 
 def by_rank(wanted: DataFrame, silos: list[DataFrame], key: str) -> DataFrame:
@@ -53,10 +54,32 @@ def worklist(wanted: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def as_of(cutoffs: DataFrame, releases: DataFrame) -> DataFrame:
-    """cutoffs (cutoff) with the latest release (release) not after it, null if there is none. Releases are few: their dates
-    meet in one sorted array."""
-    sorted_ = releases.select(F.array_sort(F.collect_set("release")).alias("all"))
-    return cutoffs.crossJoin(F.broadcast(sorted_)).select("cutoff", F.array_max(F.filter("all", lambda r: r <= F.col("cutoff"))).alias("release"))
+    """cutoffs (cutoff) with the latest release (release) not after it, null if there is none: both in one order of dates, in
+    which the last release before a cutoff is the last within its year or else that of the years before, a row a year."""
+    rows = cutoffs.select(F.col("cutoff").alias("at"), F.lit(None).cast("date").alias("release"), F.lit(True).alias("asked"))
+    rows = rows.unionByName(releases.select("release").distinct().select(F.col("release").alias("at"), "release", F.lit(False).alias("asked"))).withColumn("year", F.year("at"))
+    within = Window.partitionBy("year").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    years = rows.groupBy("year").agg(F.max("release").alias("own")).select("year", F.max("own").over(before).alias("earlier"))
+    found = rows.withColumn("own", F.max("release").over(within)).where("asked").join(years, "year")
+    return found.select(F.col("at").alias("cutoff"), F.coalesce("own", "earlier").alias("release"))
+
+
+def with_empty(found: DataFrame, key: str) -> DataFrame:
+    """Rows by_rank with empty texts and a year of 0 for keys that no silo has."""
+    empty = {c: F.coalesce(c, F.lit("" if t == "string" else 0).cast(t)) for c, t in found.dtypes if c not in (key, "silo")}
+    return found.withColumns(empty)
+
+
+def interval_texts(matched: DataFrame, chain_texts: DataFrame, entry_texts: DataFrame) -> DataFrame:
+    """Spans as interval_best_match gives them, with their text: of the best chain (entry, c, name, text) the text; of an entry
+    (entry, text) its own; of several overlapping chains each text behind its chain's name, in the order of chains; else ''."""
+    said = matched.withColumn("c", F.explode_outer(F.split(F.nullif("chains", F.lit("")), ","))).join(chain_texts.withColumn("c", F.col("c").cast("string")), ["entry", "c"], "left")
+    one = F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.struct(F.col("c").try_cast("long").alias("c"), F.when(F.col("kind") == "best", F.col("text")).otherwise(F.concat(F.lit("["), "name", F.lit("]: "), "text")).alias("text")))
+    grouped = said.groupBy("entry", "start", "stop", "kind").agg(F.array_sort(F.collect_list(one)).alias("parts"))
+    out = grouped.join(entry_texts.select("entry", F.col("text").alias("whole")), "entry", "left")
+    text = F.when(F.col("kind") == "entry", F.col("whole")).otherwise(F.array_join(F.transform("parts", lambda p: p["text"]), " "))
+    return out.select("entry", "start", "stop", "kind", F.coalesce(text, F.lit("")).alias("text"))
 
 
 def interval_best_match(spans: DataFrame, chains: DataFrame, entry_texts: DataFrame, least: float = 0.8) -> DataFrame:

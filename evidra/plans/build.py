@@ -135,6 +135,34 @@ TABLES = frozenset({
 })
 
 
+_PROTEIN = "struct<kind:string,accession:string,ncbi_taxon_id:bigint,name:string>"
+_CLAIM = f"kind string, a {_PROTEIN}, b {_PROTEIN}"
+_COUNTERS = "n_descriptions bigint, n_publications bigint, n_methods bigint, n_peptides bigint"
+#: The columns and types of tables, nodes and edges; a build's may have no others.
+SHAPES = {
+    "human": "accession string, name string, description string, function string", "viral": "ncbi_taxon_id bigint, name string, function string",
+    "function_cites": f"protein {_PROTEIN}, pmid string", "virus": "ncbi_taxon_id bigint, name string", "family": "ncbi_taxon_id bigint, name string",
+    "parent": "virus_id bigint, family_id bigint", "in_taxon": "ncbi_taxon_id bigint, name string", "interaction": f"{_CLAIM}, {_COUNTERS}",
+    "involves": f"{_CLAIM}, protein {_PROTEIN}", "interacts_with": f"a {_PROTEIN}, b {_PROTEIN}, {_COUNTERS}",
+    "description": "description_id string, source string, stable_id string, method_id string, method_name string", "supports": f"description_id string, {_CLAIM}",
+    "description_reported_in": "description_id string, pmid string", "peptide": "sequence string, length int", "reports": "description_id string, sequence string",
+    "from": f"sequence string, protein {_PROTEIN}", "binds": f"sequence string, protein {_PROTEIN}", "go_term": "id string, name string, namespace string",
+    "go_edge": "child string, parent string, relation string", "annotation": "accession string, go_id string, qualifier string",
+    "annotation_reported_in": "accession string, go_id string, qualifier string, pmid string, evidence_codes array<string>",
+}
+
+
+def misshapen(t: dict[str, DataFrame]) -> DataFrame:
+    """table, column of every column that is missing, of another type or not expected."""
+    spark, found = t["human"].sparkSession, []
+    for name, shape in SHAPES.items():
+        if name in t:
+            want = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], shape).schema}
+            have = {f.name: f.dataType.simpleString() for f in t[name].schema}
+            found += [(name, c) for c in sorted(have.keys() | want.keys()) if have.get(c) != want.get(c)]
+    return spark.createDataFrame(found, "table string, column string")
+
+
 @dataclass(frozen=True)
 class Rules:
     """What the audit needs beside the tables; rules without their part aren't tested."""
@@ -218,6 +246,7 @@ def audit(t: dict[str, DataFrame], rules: Rules = Rules()) -> list[V.Check]:
         *found,
         *audit_by(t, rules),
         V.Check("S1", "table that isn't declared, or is missing", strange),
+        V.Check("S2", "column that is missing, of another type or not declared", misshapen(t)),
         V.Check("S3", "claim neither HH nor VH", claims.where("kind NOT IN ('HH', 'VH')")),
         V.Check("S3", "description neither curated nor of the archive", t["description"].where("source NOT IN ('curated', 'archive')")),
         V.Check("S3", "taxon both virus and family", V.overlapping(t["virus"], t["family"], ["ncbi_taxon_id"])),

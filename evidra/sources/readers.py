@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from evidra.functions.text import clean, first_year, stripped, tagged, without_citations
 
 
+#: Fixed value of the archive's format: how a detection method is written.
+METHOD = r'psi-mi:"(MI:\d{4})"'
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """The named columns of a tab-separated file with a header, stripped, no quoting, and the rows of a wrong width.
 
@@ -38,11 +41,34 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
     rows = read_delimited(spark, path, 42, "#")
     at = lambda i: F.get("cells", F.lit(i))
     return rows.select(
-        at(0).alias("id_a"), at(1).alias("id_b"), F.regexp_extract_all(at(6), F.lit(r'psi-mi:"(MI:\d{4})"'), 1).alias("methods"),
+        at(0).alias("id_a"), at(1).alias("id_b"), F.regexp_extract_all(at(6), F.lit(METHOD), 1).alias("methods"),
         F.array_distinct(tagged(at(8), "pubmed:")).alias("pmids"), tagged(at(13), "intact:").alias("ids"), (at(35) == "true").alias("negative"), F.col("cells").isNull().alias("malformed"),
     )
 
 
+def read_annotations(spark: SparkSession, path: str) -> DataFrame:
+    """The annotation archive: 17 columns, of which six are read by position; gzip files are read as they are."""
+    rows = read_delimited(spark, path, 17, "!")
+    at = lambda i: F.get("cells", F.lit(i))
+    return rows.select(
+        at(1).alias("accession"), at(3).alias("qualifier"), at(4).alias("go_id"), at(6).alias("evidence_code"), at(14).alias("assigned_by"),
+        F.array_distinct(tagged(at(5), "PMID:")).alias("pmids"), F.col("cells").isNull().alias("malformed"),
+    )
+
+
+def read_methods(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """id, name, keep of a method list, and the rows (id, error) whose answer is neither yes nor no or that have no id."""
+    rows, wide = read_tsv(spark, path, ["psimi_id", "name", "keep"])
+    right = F.col("keep").isin("yes", "no") & (F.col("psimi_id") != "")
+    wrong = rows.where(~right).select(F.col("psimi_id").alias("id"), F.lit("keep is neither yes nor no, or no id").alias("error"))
+    return rows.where(right).select(F.col("psimi_id").alias("id"), "name", (F.col("keep") == "yes").alias("keep")), wrong.unionByName(wide.select(F.col("row").alias("id"), "error"))
+
+
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """group, pmid of publication groups."""
+    return read_tsv(spark, path, ["group", "pmid"])[0].where("group <> '' AND pmid <> ''")
+
+
 def read_ontology(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """terms (id, name, namespace, obsolete), aliases (alias, id), edges (child, parent, relation) of a stanza file."""
     stanzas = spark.read.option("lineSep", "\n[").text(path).where(F.col("value").startswith("Term]"))
@@ -172,7 +198,3 @@ def read_scoped_functions(spark: SparkSession, path: str) -> tuple[DataFrame, Da
     whole = texts.where("coalesce(size(chains), 0) <= 0").select("accession", "comment", "place", _under(F.col("name"), F.col("function")).alias("function"), "pmids")
     located = texts.select("accession", "comment", "place", "name", "function", "pmids", F.explode("chains").alias("f"))
     return whole, located.select("accession", "comment", "place", "name", F.col("f.location.start.value").alias("start"), F.col("f.location.end.value").alias("stop"), "function", "pmids")
-
-
-def all_text(columns: list[str]) -> StructType:
-    return StructType([StructField(c, StringType(), False) for c in columns])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidra.functions import text as X
+from evidra.operators import archive as A
 from evidra.operators import audit as V
 from evidra.operators import closure as C
 from evidra.operators import graph as G
@@ -37,6 +38,8 @@ def test_precedence_group_and_reasons(spark):
     assert sorted(tuple(r) for r in M.precedence(cur, arc, "pmid", ["pmid", "pair"]).collect()) == [(1, "a", "curated"), (1, "a", "curated"), (2, "c", "archive")]
     rows = spark.createDataFrame([("p", 1, 9, "m"), ("p", 1, 10, "m"), ("p", 1, 9, "n"), ("p", None, 11, "m")], "pair string, grp int, pmid long, method string")
     assert M.first_of_group(rows, ["pair"], "grp", "pmid").count() == 3
+    texts = M.first_of_group(rows.withColumn("pmid", F.col("pmid").cast("string")), ["pair"], "grp", "pmid")
+    assert sorted(r.pmid for r in texts.collect()) == ["11", "9", "9"]  # by number: as text, 10 would be lower than 9
     kept, dropped = M.with_reasons(rows, [("low", F.col("pmid") < 10), ("grouped", F.col("grp").isNotNull())])
     assert kept.count() == 1 and [tuple(r) for r in dropped.collect()] == [("low", 2), ("grouped", 1)]
 
@@ -77,6 +80,32 @@ def test_publish_leaves_old_views_when_a_rule_breaks(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM things").first()[0] == 3
 
 
+def test_another_session_reads_what_was_published_last(spark, tmp_path):
+    for n in (2, 4):
+        V.publish(spark, {"things": spark.range(n), "more": spark.range(1)}, str(tmp_path))
+    other = spark.newSession()
+    assert V.opened(other, str(tmp_path))["things"].count() == 4 and other.sql("SELECT count(*) FROM things").first()[0] == 4
+
+
+def test_annotation_archive_and_lists(spark, tmp_path):
+    cells = lambda *x: "\t".join(dict(x).get(i, "") for i in range(17))
+    line = cells((1, "P1"), (3, "NOT|enables"), (4, "T:9"), (5, "PMID:1|PMID:2|PMID:1|DOI:3"), (6, "IDA"), (14, "X"))
+    (tmp_path / "a.gaf").write_text("!comment\n" + line + "\nshort\tline\n")
+    rows = R.read_annotations(spark, str(tmp_path / "a.gaf"))
+    assert [(r.accession, r.qualifier, r.go_id, r.evidence_code, r.assigned_by, r.pmids) for r in rows.where("NOT malformed").collect()] == [("P1", "NOT|enables", "T:9", "IDA", "X", ["1", "2"])]
+    one = lambda v, c: spark.createDataFrame(v, c)
+    kept, counts = A.filter_annotations(rows, ("IDA",), one([("T:2",), ("T:1",)], "id string"), one([("T:9", "T:2"), ("T:9", "T:1")], "alias string, id string"), one([("T:2", "r")], "id string, reason string"), one([("P1",)], "accession string"))
+    assert sorted((r.go_id, r.pmid) for r in kept.collect()) == [("T:1", "1"), ("T:1", "2")] and [tuple(r) for r in counts.collect()] == [("malformed", 1)]
+    (tmp_path / "m.tsv").write_text("psimi_id\tname\tkeep\nM:1\tone\tyes\nM:2\ttwo\tno\nM:3\tthree\tmaybe\n")
+    listed, wrong = R.read_methods(spark, str(tmp_path / "m.tsv"))
+    assert sorted(tuple(r) for r in listed.collect()) == [("M:1", "one", True), ("M:2", "two", False)] and [r.id for r in wrong.collect()] == ["M:3"]
+    (tmp_path / "g.tsv").write_text("group\tpmid\tnote\na\t1\t\na\t2\t\nb\t3\t\na\t1\t\n")
+    assert sorted(tuple(r) for r in A.group_findings(R.read_groups(spark, str(tmp_path / "g.tsv"))).collect()) == [("group of one", "b"), ("publication twice", "1")]
+    silos = [one([("1", "t", 1999)], "pmid string, title string, year long")]
+    got = M.with_empty(M.by_rank(one([("1",), ("2",)], "pmid string"), silos, "pmid"), "pmid")
+    assert sorted((r.pmid, r.title, r.year) for r in got.collect()) == [("1", "t", 1999), ("2", "", 0)]
+
+
 def test_text_expressions(spark):
     row = spark.createDataFrame([(" a b\x1c\n c ", "Binds X (PubMed:1, PubMed:2) well (Ref.3).", " x; ;y ", "pubmed:1|doi:2|pubmed:3", "P1-2", "c. 1999 Jan")], "a string, b string, c string, d string, e string, f string")
     got = row.select(X.clean(F.col("a")), X.without_citations(F.col("b")), X.listed(F.col("c")), X.tagged(F.col("d"), "pubmed:"), X.canonical(F.col("e")), X.first_year([F.lit("none"), F.col("f")])).first()
