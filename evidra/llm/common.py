@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import re
 import shutil
@@ -142,6 +143,28 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield held
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so that what is made of their texts takes little memory at once."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, rows):
+            yield whole.slice(i, rows)
+
+
+def lean(run):
+    """A function of Arrow batches that gives back, at the end of each task, the memory its worker doesn't use: workers live on
+    from stage to stage, and each would keep the most it ever took."""
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library
+
+    return trimmed
+
+
 def lower_ascii(column) -> F.Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -176,4 +199,4 @@ def with_columns(docs: DataFrame, added: str, compute) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column("text"))], names=[*batch.schema.names, *names])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kept}, {added}")
+    return docs.mapInArrow(lean(run), f"{kept}, {added}")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, table, with_columns
+from evidra.llm.common import lean, ship, table, with_columns
 
 #: N-grams in a profile, and of a document.
 PROFILE = 300
@@ -93,7 +93,7 @@ def learn(docs: DataFrame, size: int = PROFILE, per_language: int = SAMPLE_PER_L
         for lang, own in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.int64())], names=["lang", "gram", "n"])
 
-    counts = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     rows = counts.select("lang", "gram", rank.alias("rank")).where(F.col("rank") <= size).orderBy("lang", "rank").collect()  # size rows a language
     profiles: dict[str, list[int]] = {}

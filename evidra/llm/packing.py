@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, stored, table
+from evidra.llm.common import lean, ship, sliced, stored, table
 from evidra.llm.token_records import with_end
 from evidra.llm.word_tokens import encoder
 
@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, bounds = with_end(*encode.encode(batch.column("text")), end_id)
             raw = memoryview(ids.astype("<u4")).cast("B")
             n = np.diff(bounds)
@@ -61,7 +61,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(lean(cut), PIECES)
 
 
 def grouped(runs: list[tuple[int, int]], groups: int) -> list[list[tuple[int, int]]]:

@@ -189,7 +189,7 @@ class Scanner:
         data = texts.buffers()[2]
         if data is None or offsets[-1] - offsets[0] < 3:
             return found
-        step = 8 << 20
+        step = 1 << 20
         for a in range(int(offsets[0]), int(offsets[-1]) - 2, step):
             raw = self.lower[np.frombuffer(data, np.uint8)[a : min(a + step + 2, int(offsets[-1]))]]
             code = raw[:-2] << np.uint32(16) | raw[1:-1] << np.uint32(8) | raw[2:]

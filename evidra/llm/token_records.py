@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidra.llm.common import filesystem, shared_dir, ship, stored, table
+from evidra.llm.common import filesystem, lean, shared_dir, ship, sliced, stored, table
 from evidra.llm.word_tokens import encoder
 
 POLYNOMIAL = 0x82F63B78
@@ -124,7 +124,7 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
         fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         name, stream, written, ids_before, count = f"{uuid.uuid4().hex}.rec", None, 0, 0, 0
-        for batch in batches:
+        for batch in sliced(batches):
             if stream is None:
                 stream = fs.open_output_stream(f"{root}/{name}")
             doc = batch.column("doc_id")
@@ -141,7 +141,7 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1
             stream.close()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInArrow(write, INDEX), "record-index")
+    return stored(ordered.mapInArrow(lean(write), INDEX), "record-index")
 
 
 def runs(files: list[str], offsets: list[int], sizes: list[int]) -> Iterator[tuple[str, int, list[int]]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidra.llm.common import ship, stored, table, with_columns
+from evidra.llm.common import lean, ship, stored, table, with_columns
 
 #: At most about this many labelled documents are learned from.
 TRAIN_ROWS = 20_000
@@ -108,7 +108,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "grade", "words"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    sample = stored(texts.select("doc_id", "grade", "text").mapInArrow(run, f"doc_id {kind}, grade int, words array<string>"), "toxicity-sample")
+    sample = stored(texts.select("doc_id", "grade", "text").mapInArrow(lean(run), f"doc_id {kind}, grade int, words array<string>"), "toxicity-sample")
     n, n1 = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("grade") > 0).cast("long")), F.lit(0))).first()
     if not n1 or n1 == n:
         return Model()

@@ -23,7 +23,7 @@ PIECES = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
 LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 #: A mark after a letter and before white space begins a new piece in any case.
 MARKED = "([a-z])([.,]) "
-CACHE_LIMIT = 300_000
+CACHE_LIMIT = 120_000
 _ENCODERS: dict[str, "TextEncoder"] = {}
 
 
