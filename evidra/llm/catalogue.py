@@ -6,6 +6,7 @@ from evidra.llm.matroska import op6_media_columns
 from evidra.llm.near_dedup import OP7_SQL, op7_near_dedup
 from evidra.llm.neighbours import OP10_SQL, op10_nearest_neighbours
 from evidra.llm.packing import op1_best_fit_packing
+from evidra.llm.periodic import op13_periodic_runs
 from evidra.llm.secrets import op8_secret_scan
 from evidra.llm.token_records import op4_token_records
 from evidra.llm.toxicity import op2_toxicity
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL = {"op7_near_dedup": OP7_SQL, "op9_warc": OP9_SQL, "op10_nearest_neighbours": OP10_SQL}
