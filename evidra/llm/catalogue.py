@@ -1,6 +1,7 @@
 """The corpus operators' queries, and SQL where it can express them."""
 
 from evidra.llm.byte_bpe import op5_byte_bpe
+from evidra.llm.chunk_tokens import op11_chunked_bpe
 from evidra.llm.language import op3_language_id
 from evidra.llm.matroska import op6_media_columns
 from evidra.llm.near_dedup import OP7_SQL, op7_near_dedup
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_chunked_bpe": op11_chunked_bpe,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL = {"op7_near_dedup": OP7_SQL, "op9_warc": OP9_SQL, "op10_nearest_neighbours": OP10_SQL}

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +151,21 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield whole.slice(i, rows)
 
 
+#: Texts are taken in slices of so many bytes, or one text if it has more.
+SLICE_BYTES = 4 << 20
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose texts have at most so many bytes, or one row."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + most, side="right")))
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def lean(run):
     """A function of Arrow batches that gives back, at the end of each task, the memory its worker doesn't use: workers live on
     from stage to stage, and each would keep the most it ever took."""

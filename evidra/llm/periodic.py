@@ -19,10 +19,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from evidra.llm.common import lean, ship, table, text_lists
+from evidra.llm.common import by_bytes, lean, ship, table, text_lists
 
 #: A run has at least so many words.
 LEAST = 12
@@ -30,8 +29,6 @@ LEAST = 12
 PRIMES = (np.uint64(2147483647), np.uint64(2147483629))
 BASES = (np.uint64(911382323), np.uint64(972663749))
 MIXERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-#: Texts are taken in slices of so many bytes, or one text if it has more.
-SLICE_BYTES = 4 << 20
 #: Pairs of blocks and offsets that are compared at once.
 AT_ONCE = 1 << 18
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -214,16 +211,6 @@ class SquareCatcher:
         return (at >= 0) & (b[run] >= start + period) & (q[run] < period) & (period % q[run] == 0)
 
 
-def by_bytes(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have at most so many bytes, or one row."""
-    sizes = np.cumsum(np.nan_to_num(np.array(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), np.float64)))
-    i = 0
-    while i < batch.num_rows:
-        j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + most, side="right")))
-        yield batch.slice(i, j - i)
-        i = j
-
-
 def repeating(doc_id: int | None, n: int) -> tuple[int, int] | None:
     """Where the contract makes the words of a document repeat and with which period; None where it leaves them."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -280,22 +267,21 @@ def repeated_runs(docs: DataFrame, rewritten: bool = False) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in by_bytes(whole):
-                ids = batch.column("doc_id").to_pylist()
-                vocabulary: dict[bytes, int] = {}
-                texts, codes = [], []
-                for doc_id, text in zip(ids, text_lists(batch)):
-                    words = text.encode().split()
-                    if rewritten and (at := repeating(doc_id, len(words))):
-                        a, p = at
-                        words = words[:a] + (words[a : a + p] * (-(-(len(words) - a) // p)))[: len(words) - a]
-                    texts.append(words)
-                    codes.append(np.fromiter([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64, len(words)))
-                rows = [found_row(w, r) for w, r in zip(texts, documents_runs(codes))]
-                columns = list(zip(*rows)) or [()] * 7
-                kinds = [pa.int64()] * 5 + [pa.string()] * 2
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, t) for c, t in zip(columns, kinds)]], names=["doc_id", *[x.split()[0] for x in FOUND.split(", ")]])
+        for batch in by_bytes(batches):
+            ids = batch.column("doc_id").to_pylist()
+            vocabulary: dict[bytes, int] = {}
+            texts, codes = [], []
+            for doc_id, text in zip(ids, text_lists(batch)):
+                words = text.encode().split()
+                if rewritten and (at := repeating(doc_id, len(words))):
+                    a, p = at
+                    words = words[:a] + (words[a : a + p] * (-(-(len(words) - a) // p)))[: len(words) - a]
+                texts.append(words)
+                codes.append(np.fromiter([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64, len(words)))
+            rows = [found_row(w, r) for w, r in zip(texts, documents_runs(codes))]
+            columns = list(zip(*rows)) or [()] * 7
+            kinds = [pa.int64()] * 5 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, t) for c, t in zip(columns, kinds)]], names=["doc_id", *[x.split()[0] for x in FOUND.split(", ")]])
 
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(lean(run), f"doc_id long, {FOUND}")
 
