@@ -3,6 +3,7 @@
 from evidra.llm.byte_bpe import op5_byte_bpe
 from evidra.llm.chunk_tokens import op11_chunked_bpe
 from evidra.llm.language import op3_language_id
+from evidra.llm.lexical import OP12_SQL, op12_lexical_search
 from evidra.llm.matroska import op6_media_columns
 from evidra.llm.near_dedup import OP7_SQL, op7_near_dedup
 from evidra.llm.neighbours import OP10_SQL, op10_nearest_neighbours
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_chunked_bpe": op11_chunked_bpe,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLE_SQL = {"op7_near_dedup": OP7_SQL, "op9_warc": OP9_SQL, "op10_nearest_neighbours": OP10_SQL}
+ORACLE_SQL = {"op7_near_dedup": OP7_SQL, "op9_warc": OP9_SQL, "op10_nearest_neighbours": OP10_SQL, "op12_lexical_search": OP12_SQL}
