@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidra.operators.shared import base, released, written
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, written to the checkpoint folder. Where the session names none, a temporary one, which only a
-    local master may use: executors of a cluster don't see it."""
+    """df without its lineage, written to the checkpoint folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="evidra-checkpoint-"))
+        context.setCheckpointDir(base(df.sparkSession))
     return df.checkpoint()
 
 
@@ -40,6 +36,41 @@ def descendants(roots: DataFrame, edges: DataFrame) -> DataFrame:
     return ancestors(roots, edges.select(F.col("parent").alias("child"), F.col("child").alias("parent")))
 
 
+def closure_table(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(id, ancestor, distance) of all nodes (id; those of edges by default): each id itself at distance 0 and every ancestor
+    over edges (child, parent) with the length of the shortest way.
+
+    Ways are doubled: a pair at a distance of exactly 2^k meets all pairs up to 2^k, which gives those up to 2^(k+1). So a depth of
+    d takes log2(d) rounds, cycles end, and a round writes only the pairs it finds; what it joins on is a far ancestor, and hot ones
+    are split by the session's skew join.
+    """
+    steps = edges.select(F.col("child").alias("id"), F.col("parent").alias("ancestor")).where("id <> ancestor").distinct()
+    own = steps.select("id").unionByName(steps.select(F.col("ancestor").alias("id")))
+    own = own.unionByName(nodes.select("id")) if nodes is not None else own
+    here = own.distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("distance"))
+    near = written(steps.withColumn("distance", F.lit(1)), "closure")
+    proper, span = near, 1
+    while True:
+        farthest = near if span == 1 else near.where(F.col("distance") == span)
+        onward = proper.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("far"), F.col("distance").alias("more"))
+        met = farthest.drop("distance").join(onward, "ancestor").where("id <> far").groupBy("id", F.col("far").alias("ancestor")).agg((F.min("more") + span).alias("distance"))
+        near = written(met.join(proper.select("id", "ancestor"), ["id", "ancestor"], "left_anti").select("id", "ancestor", "distance"), "closure")
+        if near.isEmpty():
+            released(near)
+            return here.unionByName(proper)
+        proper, span = proper.unionByName(near), 2 * span
+
+
+def by_ancestor(closure: DataFrame) -> DataFrame:
+    """A closure table laid out for publishing: the rows of an ancestor together, so that a filter on it skips the rest."""
+    return closure.repartitionByRange("ancestor", "id").sortWithinPartitions("ancestor", "id")
+
+
+def under(closure: DataFrame, terms: DataFrame) -> DataFrame:
+    """id, term: the ids at or below each of the terms (id), by one join with the table."""
+    return closure.join(terms.select(F.col("id").alias("ancestor")), "ancestor").select("id", F.col("ancestor").alias("term"))
+
+
 def excluded(causes: list[tuple[str, DataFrame]]) -> DataFrame:
     """Ids with the smallest reason among the sets (reason, ids) they belong to."""
     parts = [ids.select("id", F.lit(reason).alias("reason")) for reason, ids in causes]

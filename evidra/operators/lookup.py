@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -74,8 +76,54 @@ def observed_proteins(stable_ids: DataFrame, descriptions: DataFrame, observatio
     return met.select("stable_id", *map(good, ("accession", "strain", "release", "at.start", "at.stop")), error.alias("error"))
 
 
+#: Parts that the terms of a text index are dealt into by a hash, and parts that the documents of a term are dealt into in each.
+TERM_BUCKETS, DOCUMENT_PARTS = 64, 4
+
+
+def bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def postings(docs: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """bucket, term, field, key, tf: how often each term occurs in each field of each document. Terms are the runs of a-z of a
+    lower-cased text; an empty one is none. Laid out for publishing: parted by bucket, sorted by term within files."""
+    texts = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]))
+    words = docs.select(key, texts.alias("x")).select(key, "x.field", F.explode(F.split(F.lower("x.text"), "[^a-z]+")).alias("term")).where("term <> ''")
+    tf = words.groupBy(key, "field", "term").agg(F.count("*").alias("tf")).withColumn("bucket", bucket(F.col("term")))
+    dealt = tf.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(DOCUMENT_PARTS)))
+    return dealt.select("bucket", "term", "field", key, "tf").sortWithinPartitions("bucket", "term", "field", key)
+
+
+def term_counts(index: DataFrame) -> DataFrame:
+    """bucket, term, field, df: the number of documents of each term and field of an index (postings)."""
+    return index.groupBy("bucket", "term", "field").agg(F.count("*").alias("df"))
+
+
+def added_postings(index: DataFrame, counts: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Index and counts with the postings of further documents."""
+    both = counts.unionByName(term_counts(more)).groupBy("bucket", "term", "field").agg(F.sum("df").alias("df"))
+    return index.unionByName(more), both
+
+
+def search_postings(index: DataFrame, counts: DataFrame, n: int, key: str, terms: list[str], weights: dict[str, float]) -> DataFrame:
+    """Documents (key) of n that hold a term in a weighted field, scored by the sum of weight (1 + ln tf) ln(1 + n / df). Only the
+    buckets of the terms are read: they are computed here and stand in the scan's partition filter."""
+    spark = index.sparkSession
+    asked = sorted({t for x in terms for t in re.split("[^a-z]+", x.lower()) if t})
+    empty = index.select(key).limit(0).withColumn("score", F.lit(0.0))
+    if not asked:
+        return empty
+    buckets = [r[0] for r in spark.createDataFrame([(t,) for t in asked], "term string").select(bucket(F.col("term"))).distinct().collect()]
+    wanted = F.col("bucket").isin(buckets) & F.col("term").isin(asked) & F.col("field").isin(list(weights))
+    found = index.where(wanted).join(F.broadcast(counts.where(wanted).drop("bucket")), ["term", "field"])  # as many rows as terms and fields asked for
+    weight = F.lit(0.0)
+    for field, w in weights.items():
+        weight = F.when(F.col("field") == field, F.lit(float(w))).otherwise(weight)
+    return found.groupBy(key).agg(F.round(F.sum(weight * (1 + F.ln("tf")) * F.ln(1 + F.lit(n) / F.col("df"))), 6).alias("score"))
+
+
 def text_search(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """Documents (doc_id, text) that hold a term, scored by the sum of (1 + ln tf) ln(1 + N / df)."""
+    """Documents (doc_id, text) that hold a term, scored by the sum of (1 + ln tf) ln(1 + N / df), without an index."""
     words = docs.select("doc_id", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where(F.col("term").isin(terms))
     tf = words.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
