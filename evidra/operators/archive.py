@@ -6,77 +6,65 @@ row and publication). Counts are rows (drop_reason, n). Missing cells are nulls
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidra.functions.text import canonical
-from evidra.operators.closure import cut
-from evidra.operators.merge import first_of_group, first_reason
+from evidra.operators.merge import first_reason, lowest_of_group
+from evidra.operators.shared import split
 
 #: Fixed value of the archives' format: how a protein of the sequence database is written.
 PROTEIN = "uniprotkb:"
-NOT_HOST, REPEATED = "not a protein of the host", "repeated in group"
-
-
-def counted(df: DataFrame, reason: Column) -> DataFrame:
-    return df.groupBy(reason.alias("drop_reason")).agg(F.count("*").alias("n"))
-
-
-def host_pairs(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose accession1 and accession2 are both hosts (accession), and the number of the others."""
-    known = hosts.select("accession").distinct().withColumn("is_host", F.lit(True))
-    one = known.select(F.col("accession").alias("accession1"), F.col("is_host").alias("host1"))
-    two = known.select(F.col("accession").alias("accession2"), F.col("is_host").alias("host2"))
-    met = rows.join(one, "accession1", "left").join(two, "accession2", "left")
-    both = F.col("host1").isNotNull() & F.col("host2").isNotNull()
-    return met.where(both).select(*rows.columns), counted(met.where(~both), F.lit(NOT_HOST))
+NOT_HOST, REPEATED, NOT_LISTED = "not a protein of the host", "repeated in group", "method not listed: "
+RECORD = ["accession1", "accession2", "pmid", "psimi_id", "intact_id"]
 
 
 def filter_interactions(rows: DataFrame, methods: DataFrame, kept: DataFrame, hosts: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The archive's rows (as readers.read_interactions gives them) of hosts, by methods (declared, method_id) of the ontology that
-    the list `kept` (id, keep) keeps, of each pair and publication group (group, pmid) only its lowest publication: accession1,
-    accession2, pmid, psimi_id, intact_id; the counts; and the methods (psimi_id, n) that rows use but the list doesn't have, for
-    which nothing should be published."""
-    flags = kept.select(F.col("id").alias("method_id"), "keep")
+    the list `kept` (id, name, keep) keeps, of each pair and publication group (group, pmid) only its lowest publication:
+    accession1, accession2, pmid, psimi_id, intact_id; the counts, those of methods not kept for each method; and the methods
+    (psimi_id, n) that rows use but the list doesn't have, for which nothing should be published."""
+    flags = kept.select(F.col("id").alias("method_id"), F.col("name").alias("method_name"), "keep")
     met = rows.withColumn("declared", F.get("methods", F.lit(0))).join(methods, "declared", "left").join(flags, "method_id", "left")
     protein = lambda c: F.coalesce(F.col(c).startswith(PROTEIN), F.lit(False))
     reason = first_reason([
         ("malformed", F.col("malformed")), ("negative", F.coalesce("negative", F.lit(False))), ("not two proteins", ~protein("id_a") | ~protein("id_b")),
-        ("no publication", F.size("pmids") <= 0), ("several publications", F.size("pmids") > 1), ("not one method", F.size("methods") != 1),
-        ("method not in the ontology", F.col("method_id").isNull()), ("method not listed", F.col("keep").isNull()), ("method not kept", ~F.col("keep")),
-        ("not one id", F.size("ids") != 1),
+        ("no publication", F.coalesce(F.size("pmids"), F.lit(0)) <= 0), ("several publications", F.size("pmids") > 1), ("not one method", F.coalesce(F.size("methods"), F.lit(0)) != 1),
+        ("method not in the ontology", F.col("method_id").isNull()), (F.concat(F.lit(NOT_LISTED), "method_id"), F.col("keep").isNull()),
+        (F.concat_ws(" ", F.lit("method not kept:"), "method_id", "method_name"), ~F.col("keep")), ("not one id", F.coalesce(F.size("ids"), F.lit(0)) != 1),
     ])
-    marked = cut(met.withColumn("drop_reason", reason))
-    unlisted = marked.where("drop_reason = 'method not listed'").groupBy(F.col("method_id").alias("psimi_id")).agg(F.count("*").alias("n"))
     named = lambda c: canonical(F.substr(c, F.lit(len(PROTEIN) + 1)))
-    pairs = marked.where("drop_reason IS NULL").select(
+    fields = met.select(
         F.least(named("id_a"), named("id_b")).alias("accession1"), F.greatest(named("id_a"), named("id_b")).alias("accession2"),
-        F.col("pmids")[0].alias("pmid"), F.col("method_id").alias("psimi_id"), F.col("ids")[0].alias("intact_id"),
+        F.get("pmids", F.lit(0)).alias("pmid"), F.col("method_id").alias("psimi_id"), F.get("ids", F.lit(0)).alias("intact_id"), reason.alias("reason"),
     )
-    ours, strangers = host_pairs(pairs, hosts)
-    ours = cut(ours.distinct().join(groups.select("group", "pmid"), "pmid", "left"))
-    first = first_of_group(ours, ["accession1", "accession2"], "group", "pmid")
-    again = ours.join(first.select(*ours.columns), ours.columns[:-1], "left_anti")
-    label = F.concat(F.lit(f"{REPEATED} "), F.col("group"), F.lit(": "), F.col("pmid"))
-    counts = counted(marked.where("drop_reason IS NOT NULL AND drop_reason <> 'method not listed'"), F.col("drop_reason"))
-    return first.drop("group"), counts.unionByName(strangers.where("n > 0")).unionByName(counted(again, label)), unlisted
+    pairs, counts = split(fields, F.col("reason"), "archive")
+    unlisted = counts.where(F.col("drop_reason").startswith(NOT_LISTED)).select(F.substr("drop_reason", F.lit(len(NOT_LISTED) + 1)).alias("psimi_id"), "n")
+    counts = counts.where(~F.col("drop_reason").startswith(NOT_LISTED))
+    known = hosts.select("accession").distinct().withColumn("is_host", F.lit(True))
+    of_host = pairs.drop("reason")
+    for n in ("1", "2"):
+        of_host = of_host.join(known.select(F.col("accession").alias(f"accession{n}"), F.col("is_host").alias(f"host{n}")), f"accession{n}", "left")
+    ours, strangers = split(of_host, F.when(F.col("host1").isNull() | F.col("host2").isNull(), NOT_HOST), "archive")
+    ours = lowest_of_group(ours.select(*RECORD).distinct().join(groups.select("group", "pmid"), "pmid", "left"), ["accession1", "accession2"], "group", "pmid")
+    first, again = split(ours, F.when(F.col("pmid") != F.col("lowest"), F.concat(F.lit(f"{REPEATED} "), F.col("group"), F.lit(": "), F.col("pmid"))), "archive")
+    return first.select(*RECORD), counts.unionByName(strangers).unionByName(again), unlisted
 
 
 def filter_annotations(rows: DataFrame, codes: tuple[str, ...], terms: DataFrame, aliases: DataFrame, excluded: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The annotation archive's rows (as readers.read_annotations gives them) with one of the codes, one row a publication, to
     current terms (id; an alias counts as its smallest id) that aren't excluded (id, reason), of hosts: accession, go_id,
     qualifier, evidence_code, assigned_by, pmid; and the counts."""
-    early = first_reason([("malformed", F.col("malformed")), ("not experimental", ~F.coalesce(F.col("evidence_code").isin(*codes), F.lit(False))), ("no publication", F.size("pmids") <= 0)])
-    marked = cut(rows.withColumn("drop_reason", early))
-    each = marked.where("drop_reason IS NULL").withColumn("pmid", F.explode("pmids")).drop("drop_reason", "pmids", "malformed")
+    early = first_reason([("malformed", F.col("malformed")), ("not experimental", ~F.coalesce(F.col("evidence_code").isin(*codes), F.lit(False))), ("no publication", F.coalesce(F.size("pmids"), F.lit(0)) <= 0)])
+    fields, counts = split(rows, early, "annotations")
+    each = fields.withColumn("pmid", F.explode("pmids")).drop("pmids", "malformed")
     own = terms.select(F.col("id").alias("go_id"), F.col("id").alias("current"))
     other = aliases.groupBy(F.col("alias").alias("go_id")).agg(F.min("id").alias("current")).join(own.select("go_id"), "go_id", "left_anti")
     met = each.join(own.unionByName(other), "go_id", "left").join(excluded.select(F.col("id").alias("current"), "reason"), "current", "left")
     met = met.join(hosts.select("accession", F.lit(True).alias("is_host")).distinct(), "accession", "left")
-    late = first_reason([("term not in the ontology", F.col("current").isNull()), ("left out", F.col("reason").isNotNull()), (NOT_HOST, F.col("is_host").isNull())])
-    judged = cut(met.withColumn("drop_reason", F.when(late == "left out", F.concat(F.lit("left out: "), "reason")).otherwise(late)))
-    kept = judged.where("drop_reason IS NULL").select("accession", F.col("current").alias("go_id"), "qualifier", "evidence_code", "assigned_by", "pmid").distinct()
-    return kept, counted(marked.where("drop_reason IS NOT NULL"), F.col("drop_reason")).unionByName(counted(judged.where("drop_reason IS NOT NULL"), F.col("drop_reason")))
+    late = first_reason([("term not in the ontology", F.col("current").isNull()), (F.concat(F.lit("left out: "), "reason"), F.col("reason").isNotNull()), (NOT_HOST, F.col("is_host").isNull())])
+    kept, more = split(met, late, "annotations")
+    return kept.select("accession", F.col("current").alias("go_id"), "qualifier", "evidence_code", "assigned_by", "pmid").distinct(), counts.unionByName(more)
 
 
 def method_findings(listed: DataFrame, terms: DataFrame, under: DataFrame, used: DataFrame) -> DataFrame:

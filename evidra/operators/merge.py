@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from evidra.operators.closure import first_by
 
 
-def first_reason(reasons: list[tuple[str, Column]]) -> Column:
-    """The name of the first test that a row fails, null if it passes all; tests run in the given order."""
+def first_reason(reasons: list[tuple[str | Column, Column]]) -> Column:
+    """The name of the first test that a row fails, null if it passes all; tests run in the given order. A name may be a column."""
     out = None
     for name, fails in reasons:
         out = F.when(fails, name) if out is None else out.when(fails, name)
@@ -29,11 +29,17 @@ def precedence(curated: DataFrame, archive: DataFrame, key: str, columns: list[s
     return curated.select(*columns, F.lit("curated").alias("source")).unionByName(left.withColumn("source", F.lit("archive")))
 
 
-def first_of_group(rows: DataFrame, pair: list[str], group: str, publication: str) -> DataFrame:
-    """Rows without a group, and of each pair and group all rows of its lowest publication, by number, not by text."""
+def lowest_of_group(rows: DataFrame, pair: list[str], group: str, publication: str) -> DataFrame:
+    """Rows with `lowest`, the lowest publication of their pair and group, by number, not by text; null without a group."""
     kind = F.struct(F.col(publication).try_cast("long").alias("number"), F.col(publication).alias("text"))
-    lowest = rows.where(F.col(group).isNotNull()).groupBy(*pair, group).agg(F.min(kind)["text"].alias("_low"))
-    return rows.join(lowest, [*pair, group], "left").where(F.col(group).isNull() | (F.col(publication) == F.col("_low"))).select(*rows.columns)
+    lowest = rows.where(F.col(group).isNotNull()).groupBy(*pair, group).agg(F.min(kind)["text"].alias("lowest"))
+    return rows.join(lowest, [*pair, group], "left").select(*rows.columns, "lowest")
+
+
+def first_of_group(rows: DataFrame, pair: list[str], group: str, publication: str) -> DataFrame:
+    """Rows without a group, and of each pair and group all rows of its lowest publication."""
+    found = lowest_of_group(rows, pair, group, publication)
+    return found.where(F.col(group).isNull() | (F.col(publication) == F.col("lowest"))).drop("lowest")
 
 
 def by_rank(wanted: DataFrame, silos: list[DataFrame], key: str) -> DataFrame:
@@ -82,19 +88,63 @@ def interval_texts(matched: DataFrame, chain_texts: DataFrame, entry_texts: Data
     return out.select("entry", "start", "stop", "kind", F.coalesce(text, F.lit("")).alias("text"))
 
 
+#: Entries with more chains than this are joined by position.
+DIRECT = 64
+
+
+def _level(start: str, stop: str) -> Column:
+    """The least power of two that is no shorter than an interval, as its exponent."""
+    return F.length(F.bin(F.col(stop) - F.col(start))) * (F.col(stop) > F.col(start)).cast("int")
+
+
+def _bin(position: Column) -> Column:
+    return F.call_function("shiftright", position.cast("long"), F.col("level"))
+
+
+def _bins(rows: DataFrame, start: str, stop: str, least: str, top: Column) -> DataFrame:
+    """Rows once for each bin, of 2^level positions, that they reach at every level from their own up to `top`: two at most."""
+    at = rows.withColumn("level", F.explode(F.sequence(F.col(least), F.greatest(F.col(least), top))))
+    first, last = (_bin(F.col(c)) for c in (start, stop))
+    return at.withColumn("bin", F.explode(F.array_distinct(F.array(first, last))))
+
+
+def overlaps(spans: DataFrame, chains: DataFrame) -> DataFrame:
+    """entry, start, stop, c, c_start, c_stop of all spans (entry, start, stop; distinct) and chains (entry, c, c_start, c_stop) of
+    one entry that share a position; both ends belong to an interval, and one whose stop lies before its start meets nothing.
+
+    In entries of few chains every span meets every chain. In others intervals meet in bins: an interval has the level of the least
+    power of two that covers it, reaches two bins of that or a higher level at most, and two intervals that overlap share the bin of
+    their first common position at the higher of their levels. There they meet, once, so the rows of a long entry are spread over
+    its positions and their number follows the overlaps, not the product.
+    """
+    spans, chains = spans.where("start <= stop"), chains.where("c_start <= c_stop")
+    long = chains.groupBy("entry").agg(F.count("*").alias("n"), F.max(_level("c_start", "c_stop")).alias("c_top")).where(F.col("n") > DIRECT).drop("n")
+    common = (F.col("c_start") <= F.col("stop")) & (F.col("c_stop") >= F.col("start"))
+    columns = ["entry", "start", "stop", "c", "c_start", "c_stop"]
+    direct = spans.join(long, "entry", "left_anti").join(chains, "entry").where(common).select(*columns)
+    wide = spans.join(long, "entry").withColumn("own", _level("start", "stop"))
+    tops = wide.groupBy("entry").agg(F.max(F.greatest("own", "c_top")).alias("top"))
+    one = _bins(wide.drop("c_top").join(tops, "entry"), "start", "stop", "own", F.col("top"))
+    two = _bins(chains.join(tops, "entry").withColumn("c_own", _level("c_start", "c_stop")), "c_start", "c_stop", "c_own", F.col("top"))
+    met = one.drop("top").join(two.drop("top"), ["entry", "level", "bin"])
+    there = (F.col("level") == F.greatest("own", "c_own")) & (F.col("bin") == _bin(F.greatest("start", "c_start")))
+    return direct.unionByName(met.where(common & there).select(*columns))
+
+
 def interval_best_match(spans: DataFrame, chains: DataFrame, entry_texts: DataFrame, least: float = 0.8) -> DataFrame:
     """spans (entry, start, stop) with the text that describes them: of the chain (entry, c, c_start, c_stop) that overlaps
     best if the shares of common positions reach `least` (the first on a tie); else the entry's own text if it has one span
     only; else the overlapping chains; else nothing."""
     chain = F.col("c").isNotNull()  # least() and greatest() skip nulls: an absent chain isn't a perfect overlap
-    met = spans.join(chains, (spans["entry"] == chains["entry"]) & (F.col("c_start") <= F.col("stop")) & (F.col("c_stop") >= F.col("start")), "left").drop(chains["entry"])
+    asked = spans.select("entry", "start", "stop").distinct()
+    met = asked.join(overlaps(asked, chains), ["entry", "start", "stop"], "left")
     common = F.least("stop", "c_stop") - F.greatest("start", "c_start") + 1
     score = F.when(chain, common / (F.greatest("stop", "c_stop") - F.least("start", "c_start") + 1))
     grouped = met.withColumn("score", score).groupBy("entry", "start", "stop").agg(
         F.max_by(F.struct("score", "c"), F.struct(F.col("score"), -F.col("c"))).alias("best"),
         F.array_sort(F.collect_set("c")).alias("over"),
     )
-    single = spans.groupBy("entry").agg(F.countDistinct("start", "stop").alias("n_spans"))
+    single = asked.groupBy("entry").agg(F.count("*").alias("n_spans"))
     found = grouped.join(single, "entry").join(entry_texts.select("entry", F.lit(True).alias("has_text")), "entry", "left")
     kind = (
         F.when(F.col("best.score") >= least, "best")

@@ -458,7 +458,7 @@ LANDED = """(SELECT l_quantity < 3 AS malformed, l_discount >= 0.09 AS negative,
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 ARCHIVE = f"""m AS (SELECT *, CASE WHEN malformed THEN 'malformed' WHEN negative THEN 'negative' WHEN chemical THEN 'not two proteins' WHEN o % 11 = 0 THEN 'no publication'
     WHEN o % 11 = 1 THEN 'several publications' WHEN p_size % 10 < 2 THEN 'not one method' WHEN p_size % 10 = 2 THEN 'method not in the ontology' WHEN p_brand LIKE '%4' THEN 'unlisted'
-    WHEN p_brand LIKE '%5' THEN 'method not kept' WHEN l_linenumber = 1 THEN 'not one id' END AS reason FROM {LANDED}),
+    WHEN p_brand LIKE '%5' THEN 'method not kept: ' || p_brand || ' ' || lower(p_brand) WHEN l_linenumber = 1 THEN 'not one id' END AS reason FROM {LANDED}),
 k AS (SELECT least('P' || s, 'P' || p) AS accession1, greatest('P' || s, 'P' || p) AS accession2, o::VARCHAR AS pmid, p_brand AS psimi_id, o::VARCHAR AS intact_id, s % 7 = 0 OR p % 7 = 0 AS strange,
     CASE WHEN o_custkey % 50 < 10 THEN 'g' || (o_custkey % 50) END AS grp, o FROM m WHERE reason IS NULL),
 h AS (SELECT DISTINCT * FROM k WHERE NOT strange), w AS (SELECT *, min(o) OVER (PARTITION BY accession1, accession2, grp) AS low FROM h)"""
@@ -478,7 +478,7 @@ def landed(spark, d) -> DataFrame:
 def archive(spark, d):
     part, orders = t(spark, d, "part"), t(spark, d, "orders")
     brands = part.selectExpr("p_brand AS declared", "p_brand AS method_id").distinct()
-    kept = part.selectExpr("p_brand AS id", "p_brand NOT LIKE '%5' AS keep").where("id NOT LIKE '%4'").distinct()
+    kept = part.selectExpr("p_brand AS id", "lower(p_brand) AS name", "p_brand NOT LIKE '%5' AS keep").where("id NOT LIKE '%4'").distinct()
     ids = t(spark, d, "supplier").selectExpr("s_suppkey AS n").unionByName(part.selectExpr("p_partkey % 100 AS n"))
     groups = orders.where("o_custkey % 50 < 10").selectExpr("concat('g', o_custkey % 50) AS `group`", "cast(o_orderkey AS STRING) AS pmid")
     return R.filter_interactions(landed(spark, d), brands, kept, ids.where("n % 7 <> 0").selectExpr("concat('P', n) AS accession").distinct(), groups)

@@ -15,18 +15,30 @@ METHOD = r'psi-mi:"(MI:\d{4})"'
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """The named columns of a tab-separated file with a header, stripped, no quoting, and the rows of a wrong width.
 
-    Columns are found by name. Empty lines are skipped; an empty cell is ''; NULL and \\N are text.
+    Columns are found by name, in every file by its own header. Empty lines are skipped; an empty cell is ''; NULL and \\N are text.
     """
-    lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿|\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"))
-    header = lines.first()["value"]
-    names = [x.strip() for x in header.split("\t")]
-    missing = [c for c in columns if c not in names]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    rows = lines.where((F.col("value") != header) & (F.trim("value") != "")).withColumn("cells", F.split("value", "\t", -1))
-    right = F.size("cells") == len(names)
-    kept = rows.where(right).select(*[stripped(F.get("cells", F.lit(names.index(c)))).alias(c) for c in columns])
-    return kept, rows.where(~right).select("file", F.col("value").alias("row"), F.lit("wrong number of columns").alias("error"))
+    lines = spark.read.text(path).select(
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    files: dict[str, list[str]] = {}
+    for r in first.collect():  # a row a file
+        files.setdefault(r["header"], []).append(r["file"])
+    kept = wide = None
+    for header, named in sorted(files.items()):
+        names = [x.strip() for x in header.split("\t")]
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"{', '.join(named)} has no column {', '.join(missing)}")
+        mine = lines.where(F.col("file").isin(named)) if len(files) > 1 else lines
+        rows = mine.where((F.col("value") != header) & (F.trim("value") != "")).withColumn("cells", F.split("value", "\t", -1))
+        right = F.size("cells") == len(names)
+        good = rows.where(right).select(*[stripped(F.get("cells", F.lit(names.index(c)))).alias(c) for c in columns])
+        bad = rows.where(~right).select("file", F.col("value").alias("row"), F.lit("wrong number of columns").alias("error"))
+        kept, wide = (good, bad) if kept is None else (kept.unionByName(good), wide.unionByName(bad))
+    if kept is None:
+        raise ValueError(f"{path} has no header")
+    return kept, wide
 
 
 def read_delimited(spark: SparkSession, path: str, width: int, comment: str) -> DataFrame:
@@ -36,13 +48,18 @@ def read_delimited(spark: SparkSession, path: str, width: int, comment: str) ->
     return lines.select("value", F.when(F.size(cells) == width, cells).alias("cells"))
 
 
+def numbers(values: Column) -> Column:
+    """The values that are digits: other ids of publications stand for none."""
+    return F.filter(values, lambda x: x.rlike(r"^\d+$"))
+
+
 def read_interactions(spark: SparkSession, path: str) -> DataFrame:
     """The interaction archive: 42 columns, of which six are read by position."""
     rows = read_delimited(spark, path, 42, "#")
     at = lambda i: F.get("cells", F.lit(i))
     return rows.select(
         at(0).alias("id_a"), at(1).alias("id_b"), F.regexp_extract_all(at(6), F.lit(METHOD), 1).alias("methods"),
-        F.array_distinct(tagged(at(8), "pubmed:")).alias("pmids"), tagged(at(13), "intact:").alias("ids"), (at(35) == "true").alias("negative"), F.col("cells").isNull().alias("malformed"),
+        F.array_distinct(numbers(tagged(at(8), "pubmed:"))).alias("pmids"), tagged(at(13), "intact:").alias("ids"), (at(35) == "true").alias("negative"), F.col("cells").isNull().alias("malformed"),
     )
 
 
@@ -51,8 +68,8 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     rows = read_delimited(spark, path, 17, "!")
     at = lambda i: F.get("cells", F.lit(i))
     return rows.select(
-        at(1).alias("accession"), at(3).alias("qualifier"), at(4).alias("go_id"), at(6).alias("evidence_code"), at(14).alias("assigned_by"),
-        F.array_distinct(tagged(at(5), "PMID:")).alias("pmids"), F.col("cells").isNull().alias("malformed"),
+        at(1).alias("accession"), clean(at(3)).alias("qualifier"), at(4).alias("go_id"), at(6).alias("evidence_code"), clean(at(14)).alias("assigned_by"),
+        F.array_distinct(numbers(tagged(at(5), "PMID:"))).alias("pmids"), F.col("cells").isNull().alias("malformed"),
     )
 
 
@@ -64,9 +81,17 @@ def read_methods(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(right).select(F.col("psimi_id").alias("id"), "name", (F.col("keep") == "yes").alias("keep")), wrong.unionByName(wide.select(F.col("row").alias("id"), "error"))
 
 
+def read_group_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """group, pmid of publication groups, and the rows (id, error) without a group or with a publication that isn't digits."""
+    rows, wide = read_tsv(spark, path, ["group", "pmid"])
+    right = (F.col("group") != "") & F.col("pmid").rlike(r"^\d+$")
+    wrong = rows.where(~right).select(F.col("pmid").alias("id"), F.lit("no group, or a publication that isn't digits").alias("error"))
+    return rows.where(right), wrong.unionByName(wide.select(F.col("row").alias("id"), "error"))
+
+
 def read_groups(spark: SparkSession, path: str) -> DataFrame:
-    """group, pmid of publication groups."""
-    return read_tsv(spark, path, ["group", "pmid"])[0].where("group <> '' AND pmid <> ''")
+    """group, pmid of the sound rows of a list of publication groups."""
+    return read_group_list(spark, path)[0]
 
 
 def read_ontology(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -140,19 +165,7 @@ ENTRY = (
 )
 
 
-def read_entries(spark: SparkSession, path: str) -> DataFrame:
-    """accession, molecule, text and cited publications of the function comments of reviewed protein entries."""
-    entries = spark.read.schema(ENTRY).option("multiLine", True).json(path).select(F.explode("results").alias("e"))
-    comments = entries.where(F.lower("e.entryType").contains("reviewed") & ~F.lower("e.entryType").contains("unreviewed")).select("e.primaryAccession", F.explode("e.comments").alias("c"))
-    texts = comments.where("c.commentType = 'FUNCTION'")
-    cited = F.flatten(F.transform("c.texts", lambda t: F.coalesce(F.transform(F.filter(t["evidences"], lambda v: v["source"] == "PubMed"), lambda v: v["id"]), F.array().cast("array<string>"))))
-    return texts.select(
-        F.col("primaryAccession").alias("accession"), F.coalesce("c.molecule", F.lit("")).alias("molecule"),
-        F.array_join(F.transform("c.texts", lambda t: t["value"]), " ").alias("text"), F.array_distinct(F.filter(cited, lambda x: x.rlike(r"^\d+$"))).alias("pmids"),
-    )
-
-
-def _cited(texts: Column) -> Column:
+def _cited(texts: str | Column) -> Column:
     """The publications that texts cite, in order, once each."""
     none = F.array().cast("array<string>")
     ids = F.transform(texts, lambda t: F.coalesce(F.transform(F.filter(t["evidences"], lambda v: v["source"] == "PubMed"), lambda v: v["id"]), none))
@@ -166,6 +179,12 @@ def _reviewed(spark: SparkSession, path: str) -> DataFrame:
     return kept.select(F.col("e.primaryAccession").alias("accession"), "e.features", F.filter("e.comments", lambda c: c["commentType"] == "FUNCTION").alias("comments"))
 
 
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """accession, molecule, text and cited publications of the function comments of reviewed protein entries."""
+    texts = _reviewed(spark, path).select("accession", F.explode("comments").alias("c"))
+    return texts.select("accession", F.coalesce("c.molecule", F.lit("")).alias("molecule"), F.array_join(F.transform("c.texts", lambda t: t["value"]), " ").alias("text"), _cited("c.texts").alias("pmids"))
+
+
 def _under(molecule: Column, text: Column) -> Column:
     return F.when(molecule != "", F.concat(F.lit("["), molecule, F.lit("]: "), text)).otherwise(text)
 
