@@ -270,20 +270,20 @@ def asof_release(spark, d):
 @query(f"SELECT x.protein, y.partner AS target, count(*) AS n_paths FROM {HH_BOTH} x JOIN {HH_BOTH} y ON x.partner = y.protein WHERE x.protein % 50 = 0 AND x.protein <> y.partner GROUP BY 1, 2")
 def two_hop(spark, d):
     """Two hops over all pairs from the stated query set: suppliers whose id is divisible by 50."""
-    return G.two_hop(hh_pairs(spark, d), t(spark, d, "supplier").where("s_suppkey % 50 = 0").selectExpr("s_suppkey AS protein"))
+    return G.two_hop_of(partners(spark, d), t(spark, d, "supplier").where("s_suppkey % 50 = 0").selectExpr("s_suppkey AS protein"))
 
 
 @query(f"SELECT x.protein, y.partner AS target, count(*) AS n_paths FROM {HH_BOTH} x JOIN {HH_BOTH} y ON x.partner = y.protein WHERE x.protein <> y.partner GROUP BY 1, 2")
 def two_hop_all(spark, d):
     """two_hop over all pairs, every supplier being a seed."""
-    return G.two_hop(hh_pairs(spark, d), t(spark, d, "supplier").selectExpr("s_suppkey AS protein"))
+    return G.two_hop_of(partners(spark, d), t(spark, d, "supplier").selectExpr("s_suppkey AS protein"))
 
 
 @query("""SELECT n_name AS virus, c_mktsegment AS protein, l_suppkey AS human, count(*) AS n_descriptions, count(DISTINCT l_orderkey) AS n_publications
-FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE n_name LIKE '%A%' AND n_nationkey < 10 GROUP BY ALL""")
+FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE n_name LIKE '%A%' GROUP BY ALL""")
 def virus_drilldown(spark, d):
     rows = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.join(t(spark, d, "nation").where("n_name LIKE '%A%' AND n_nationkey < 10"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(t(spark, d, "nation").where("n_name LIKE '%A%'"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.groupBy(F.col("n_name").alias("virus"), F.col("c_mktsegment").alias("protein"), F.col("l_suppkey").alias("human")).agg(F.count("*").alias("n_descriptions"), F.countDistinct("l_orderkey").alias("n_publications"))
 
 
@@ -295,9 +295,10 @@ def family_rollup(spark, d):
     return rows.groupBy(F.col("r_name").alias("family")).agg(F.count("*").alias("n_interactions"), F.countDistinct("a").alias("n_hosts"))
 
 
-@query(f"SELECT DISTINCT peptide, a AS source, b_nation, b_name FROM {VH} WHERE b_name = 'BUILDING' AND b_nation = 3")
+@query(f"SELECT DISTINCT peptide, a AS source, b_nation, b_name FROM {VH}")
 def peptide_from_binds(spark, d):
-    return vh_observations(spark, d).where("b_name = 'BUILDING' AND b_nation = 3").selectExpr("peptide", "a AS source", "b_nation", "b_name").distinct()
+    """Every peptide with each protein it is from and each it binds."""
+    return vh_observations(spark, d).selectExpr("peptide", "a AS source", "b_nation", "b_name").distinct()
 
 
 @query("""SELECT publication, kind, count(*) AS n FROM (
@@ -378,9 +379,10 @@ def near_names(spark, d):
     return L.near_names(asked, p.selectExpr("p_brand AS taxon", "p_type AS name").distinct(), "taxon")
 
 
-@query("SELECT c_nationkey AS ncbi_taxon_id, c_mktsegment AS name, c_custkey AS accession, n_name AS strain, length(c_name) AS length FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'MACHINERY'")
+@query("SELECT c_nationkey AS ncbi_taxon_id, c_mktsegment AS name, c_custkey AS accession, n_name AS strain, length(c_name) AS length FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def site_lookup(spark, d):
-    wanted = t(spark, d, "nation").selectExpr("n_nationkey AS ncbi_taxon_id", "'MACHINERY' AS name").distinct()
+    """The sites of every viral protein there is."""
+    wanted = t(spark, d, "customer").selectExpr("c_nationkey AS ncbi_taxon_id", "c_mktsegment AS name").distinct()
     mature = t(spark, d, "customer").selectExpr("c_nationkey AS ncbi_taxon_id", "c_mktsegment AS name", "c_custkey AS accession", "length(c_name) AS length")
     entry = t(spark, d, "customer").join(F.broadcast(t(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr("c_custkey AS accession", "n_name AS strain")
     return L.sites(wanted, mature, entry).select("ncbi_taxon_id", "name", "accession", "strain", "length")
@@ -575,7 +577,7 @@ def host_sequences(spark, d):
     return L.host_sequences(asked, t(spark, d, "part").where("p_size > 5").selectExpr("p_partkey AS accession", "p_name AS sequence"))
 
 
-@query("""WITH w AS (SELECT n_nationkey AS ncbi_taxon_id, unnest(['MACHINERY', 'nothing']) AS name FROM nation), m AS (SELECT c_nationkey AS ncbi_taxon_id, c_mktsegment AS name, c_custkey AS accession, c_custkey % 7 AS start, c_custkey % 7 + 9 AS stop, c_name AS sequence FROM customer)
+@query("""WITH w AS (SELECT DISTINCT c_nationkey AS ncbi_taxon_id, unnest([c_mktsegment, 'nothing']) AS name FROM customer), m AS (SELECT c_nationkey AS ncbi_taxon_id, c_mktsegment AS name, c_custkey AS accession, c_custkey % 7 AS start, c_custkey % 7 + 9 AS stop, c_name AS sequence FROM customer)
 SELECT ncbi_taxon_id, name, CAST(row_number() OVER (PARTITION BY ncbi_taxon_id, name ORDER BY accession, start, stop) AS INTEGER) AS place, accession, n_name AS strain, CASE WHEN accession IS NOT NULL THEN 'r' || (accession % 3) END AS release, start, stop, length(sequence) AS length, sequence,
   CASE WHEN accession IS NULL THEN 'no protein ' || name END AS error FROM w LEFT JOIN m USING (ncbi_taxon_id, name) LEFT JOIN nation ON n_nationkey = ncbi_taxon_id AND accession IS NOT NULL""")
 def viral_sites(spark, d):
@@ -583,7 +585,7 @@ def viral_sites(spark, d):
     nation, customer = t(spark, d, "nation"), t(spark, d, "customer")
     mature = customer.selectExpr("c_nationkey AS ncbi_taxon_id", "c_mktsegment AS name", "c_custkey AS accession", "c_custkey % 7 AS start", "c_custkey % 7 + 9 AS stop", "c_name AS sequence")
     entries = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr("c_custkey AS accession", "n_name AS strain", "concat('r', c_custkey % 3) AS release")
-    return L.viral_sites(nation.selectExpr("n_nationkey AS ncbi_taxon_id", "explode(array('MACHINERY', 'nothing')) AS name"), mature, entries)
+    return L.viral_sites(customer.selectExpr("c_nationkey AS ncbi_taxon_id", "explode(array(c_mktsegment, 'nothing')) AS name").distinct(), mature, entries)
 
 
 @query("""WITH i AS (SELECT o_orderkey AS id FROM orders UNION SELECT -o_orderkey - 1 FROM orders),

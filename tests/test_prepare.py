@@ -108,7 +108,7 @@ def test_what_stops_a_build(spark, tmp_path):
         P.build_landed(spark, put(tmp_path / "export", FILES), landed, str(tmp_path / "out"))
     for says in ("used but not listed", "listed twice", "not a detection method", "neither yes nor no", "group of one", "isn't digits"):
         assert says in str(stopped.value), says
-    assert not (tmp_path / "out/current").exists()
+    assert not (tmp_path / "out/versions").exists()
 
 
 def test_a_renamed_method_is_told_but_stops_nothing(spark, tmp_path):
