@@ -1,21 +1,23 @@
 """WARC archives as a Spark data source in Python.
 
-Writing: each task writes one file of gzip members, a record each, under a name of its own; the commit lists the files of
-the attempts that count in a manifest, so files of lost tasks are never read. A member's header names its compressed and
-whole lengths (extra field "sl"), so that a reader can pass over it.
+Writing: each task writes one file of gzip members, a record each, under a name of its own; every commit lists the files of
+the attempts that count in a manifest of its own, so files of lost tasks are never read and what other commits wrote stays. A
+commit that overwrites names the manifests and files it replaces in the same manifest, and so replaces them at once. A member's
+header names its compressed and whole lengths (extra field "sl"), so that a reader can pass over it.
 
 Reading: files are planned into partitions by size; filters on record type and on headers (equality and IN) are pushed
 down; of each record the headers are parsed first, and the payload of a record that is not wanted is not inflated. Option
-payload=false leaves payloads out. Archives without manifest or lengths are read too.
+payload=false leaves payloads out. Archives of other writers, without manifest or lengths, are read too.
 
-Null html: an empty payload. Null url: no target URI; control characters in it are escaped. Null page_id: no page header.
-Rows with one page_id and equal payloads are all responses; of a tie there is so no other. A very long payload is one record, held
+Null html: an empty payload. Null url: no target URI; control characters in it are escaped. Null page_id: no page header;
+such a page is a revisit if a page with an id has its payload of LEAST_REVISIT bytes or more, else a response. Rows with one page_id and equal payloads are all responses; of a tie there is so no other. A very long payload is one record, held
 by one task. An empty table gives no records. Columns other than page_id, url and html, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -32,7 +34,8 @@ from evidra.llm.common import filesystem, met, shared_dir, ship, stored, table
 SCHEMA = "record_id string, record_type string, target_uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, payload binary"
 COLUMNS = [x.split()[0] for x in SCHEMA.split(", ")]
 KINDS = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-MANIFEST = "_MANIFEST.json"
+MANIFEST = re.compile(r"_MANIFEST.*\.json")
+OWN_FILE = re.compile(r"[0-9a-f]{32}\.warc\.gz")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
 PARTITION_BYTES = 64 << 20
@@ -122,6 +125,28 @@ def records(stream, wanted, with_payload: bool) -> Iterator[dict]:
         at = at + length if known else place - len(reader.unused_data)
 
 
+def manifests(fs: pafs.FileSystem, root: str, names) -> dict[str, dict]:
+    """What the manifests of a folder say that no other replaces: files, and the manifests and files they replace."""
+    said = {}
+    for name in names:
+        if MANIFEST.fullmatch(name):
+            with fs.open_input_stream(f"{root}/{name}") as s:
+                one = json.loads(s.read())
+            said[name] = one if isinstance(one, dict) else {"files": one, "replaces": []}
+    replaced = {r for one in said.values() for r in one["replaces"]}
+    return {name: one for name, one in said.items() if name not in replaced}
+
+
+def standing(fs: pafs.FileSystem, root: str, names) -> list[str]:
+    """The archives of a folder that count: those that its manifests list, and other writers' that none replaces."""
+    said = manifests(fs, root, names)
+    archives = [n for n in names if n.endswith(".warc.gz")]
+    if not said:
+        return archives
+    replaced = {r for one in said.values() for r in one["replaces"]}
+    return [n for one in said.values() for n in one["files"]] + [n for n in archives if not OWN_FILE.fullmatch(n) and n not in replaced]
+
+
 class Files(InputPartition):
     def __init__(self, names: list[str]):
         self.names = names
@@ -143,10 +168,7 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> Sequence[Files]:
         fs, root = filesystem(self.path)
         found = {x.base_name: x.size for x in fs.get_file_info(pafs.FileSelector(root)) if x.is_file}
-        names = [n for n in found if n.endswith(".warc.gz")]
-        if MANIFEST in found:
-            with fs.open_input_stream(f"{root}/{MANIFEST}") as s:
-                names = json.loads(s.read())
+        names = standing(fs, root, found)
         out, room = [], 0
         for name in sorted(names):
             if not out or room < found[name]:
@@ -184,8 +206,8 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Writes rows (page_id, url, payload, payload_digest, payload_bytes, record_type, refers_to)."""
 
-    def __init__(self, options: dict):
-        self.path, self.date = options["path"], options.get("date", "1970-01-01T00:00:00Z")
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.date, self.overwrite = options["path"], options.get("date", "1970-01-01T00:00:00Z"), overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.path)
@@ -204,8 +226,19 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, root = filesystem(self.path)
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{MANIFEST}") as s:
-            s.write(json.dumps(sorted(n for m in messages if m for n in m.names)).encode())
+        old: list[str] = []
+        if self.overwrite:
+            there = [x.base_name for x in fs.get_file_info(pafs.FileSelector(root)) if x.is_file]
+            old = [n for n in there if MANIFEST.fullmatch(n)] + standing(fs, root, there)
+        with fs.open_output_stream(f"{root}/_MANIFEST-{uuid.uuid4().hex}.json") as s:
+            s.write(json.dumps({"files": sorted(n for m in messages if m for n in m.names), "replaces": old}).encode())
+        for name in old:  # they count no more, so it may fail half way
+            fs.delete_file(f"{root}/{name}")
+
+    def abort(self, messages: list) -> None:
+        fs, root = filesystem(self.path)
+        for name in [n for m in messages if m for n in m.names]:
+            fs.delete_file(f"{root}/{name}")
 
 
 class WarcDataSource(DataSource):
@@ -220,7 +253,7 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -246,9 +279,17 @@ def deduplicated(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     )
 
 
-def write_archive(pages: DataFrame, path: str) -> None:
+def write_archive(pages: DataFrame, path: str, mode: str = "append") -> None:
+    """Write pages as records beside those that are there (append), in their place (overwrite), or only where nothing is (error).
+    Revisits refer to records of the same call."""
+    if mode not in ("append", "overwrite", "error"):
+        raise ValueError(f"no mode {mode}")
     register(pages.sparkSession)
-    deduplicated(pages).write.format("warc").mode("append").save(path)
+    if mode == "error":
+        fs, root = filesystem(path)
+        if fs.get_file_info(root).type != pafs.FileType.NotFound and fs.get_file_info(pafs.FileSelector(root)):
+            raise FileExistsError(path)
+    deduplicated(pages).write.format("warc").mode("overwrite" if mode == "overwrite" else "append").save(path)
 
 
 def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
@@ -275,7 +316,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, octet_length(encode(html)) AS n, sha256(html) AS digest FROM p),
 f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
 SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
-  CASE WHEN f.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN f.first <> d.page_id THEN f.first END AS refers_to
+  CASE WHEN f.first IS NOT NULL AND d.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN d.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
 FROM d LEFT JOIN f USING (digest)
 """

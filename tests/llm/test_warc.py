@@ -2,6 +2,7 @@ import gzip
 import hashlib
 
 import duckdb
+import pytest
 
 from evidra.llm import warc as W
 
@@ -31,6 +32,38 @@ def test_archive_round_trip_dedup_and_pushdown(spark, tmp_path):
     assert W.read_archive(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_writing_again_keeps_or_replaces(spark, tmp_path):
+    page = lambda *ids: spark.createDataFrame([(i, f"http://{i}", LONG) for i in ids], "page_id long, url string, html string")
+    path = f"file://{tmp_path}/w"
+    read = lambda: sorted((r.page_id, r.record_type, r.refers_to) for r in W.read_archive(spark, path).collect())
+    W.write_archive(page(1, 2), path)
+    W.write_archive(page(3), path)
+    assert read() == [(1, "response", None), (2, "revisit", 1), (3, "response", None)]
+    (tmp_path / "w" / f"{'0' * 32}.warc.gz").write_bytes(b"of a lost task")
+    other = W.member(W.record({"record_type": "response", "page_id": 9, "url": "u", "payload_digest": "d", "payload_bytes": 1, "payload": b"x", "refers_to": None}, "x"))
+    (tmp_path / "w" / "other.warc.gz").write_bytes(other)
+    assert [r[0] for r in read()] == [1, 2, 3, 9]
+    with pytest.raises(FileExistsError):
+        W.write_archive(page(4), path, mode="error")
+    W.write_archive(page(5, 6), path, mode="overwrite")
+    assert read() == [(5, "response", None), (6, "revisit", 5)]
+    W.write_archive(page(7), path)
+    assert [r[0] for r in read()] == [5, 6, 7]
+    W.write_archive(page(8), f"file://{tmp_path}/new", mode="error")
+    assert W.read_archive(spark, f"file://{tmp_path}/new").count() == 1
+    with pytest.raises(ValueError, match="no mode"):
+        W.write_archive(page(8), path, mode="ignore")
+
+
+def test_odd_pages_equal_sql(spark, tmp_path):
+    """Null and repeated page_ids, and a very long payload, are told alike by code and SQL."""
+    rows = [(None, LONG), (1, LONG), (1, LONG), (2, LONG), (None, "<i>" + "y" * 300), (3, "z" * 5_000_000), (4, "z" * 5_000_000), (5, None), (5, ""), (None, None)]
+    spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted((tuple(r) for r in W.op9_warc(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(duckdb.sql(W.OP9_SQL).fetchall(), key=repr) and sum(r[3] == "revisit" for r in got) == 3
+
+
 def test_query_equals_sql(spark):
     d = "/root/testdata/sf0.01"
     duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{d}/pages.parquet'")
