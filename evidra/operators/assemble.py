@@ -95,6 +95,16 @@ def peptide_reports(sources: DataFrame, curated: DataFrame) -> DataFrame:
     return sources.join(curated.select("stable_id", "kind", "a", "b"), "stable_id").select("kind", "a", "b", "stable_id", "sequence", "source", target.alias("target")).distinct()
 
 
+def cited_by_silo(descriptions: DataFrame, annotations: DataFrame, human: DataFrame, viral: DataFrame) -> DataFrame:
+    """pmid, silo of every cited publication: the host silo's of HH descriptions (kind, pmid), annotations and texts of human
+    proteins (pmids, a list), the viral silo's of VH descriptions and texts of viral proteins. One that both cite is in both."""
+    rows = descriptions.select("pmid", F.when(F.col("kind") == "VH", "viral").otherwise("host").alias("silo"))
+    rows = rows.unionByName(annotations.select("pmid", F.lit("host").alias("silo")))
+    for texts, silo in ((human, "host"), (viral, "viral")):
+        rows = rows.unionByName(texts.select(F.explode("pmids").alias("pmid"), F.lit(silo).alias("silo")))
+    return rows.distinct()
+
+
 def counted_claims(descriptions: DataFrame, reports: DataFrame) -> DataFrame:
     """kind, a, b with numbers of descriptions and distinct publications, methods and peptides; peptides are counted before
     they meet the pairs, so no description counts twice."""

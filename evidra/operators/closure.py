@@ -45,7 +45,7 @@ def closure_table(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame
     are split by the session's skew join.
     """
     steps = edges.select(F.col("child").alias("id"), F.col("parent").alias("ancestor")).where("id <> ancestor").distinct()
-    own = steps.select("id").unionByName(steps.select(F.col("ancestor").alias("id")))
+    own = edges.select(F.col("child").alias("id")).unionByName(edges.select(F.col("parent").alias("id")))
     own = own.unionByName(nodes.select("id")) if nodes is not None else own
     here = own.distinct().select("id", F.col("id").alias("ancestor"), F.lit(0).alias("distance"))
     near = written(steps.withColumn("distance", F.lit(1)), "closure")
@@ -80,26 +80,38 @@ def excluded(causes: list[tuple[str, DataFrame]]) -> DataFrame:
     return out.groupBy("id").agg(F.min("reason").alias("reason"))
 
 
-def resolve_merges(ids: DataFrame, merged: DataFrame, current: DataFrame, probes: int = 8) -> DataFrame:
-    """ids (id) with the current id that old -> new hops lead to; null after `probes` probes without one: unknown or cyclic."""
-    now = ids.select("id").distinct().withColumns({"at": F.col("id"), "resolved": F.lit(None).cast("long")})
-    known, hops = current.select(F.col("id").alias("at"), F.lit(True).alias("known")), merged.select(F.col("old_id").alias("at"), "new_id")
-    for k in range(probes):
-        now = now.join(known, "at", "left").join(hops, "at", "left")
-        now = now.select("id", F.coalesce("resolved", F.when(F.col("known"), F.col("at"))).alias("resolved"), F.when(~F.coalesce("known", F.lit(False)), F.col("new_id")).alias("at"))
-        if k % 3 == 2:
-            now = cut(now)
-    return now.select("id", "resolved")
+def resolve_merges(ids: DataFrame, merged: DataFrame, current: DataFrame) -> DataFrame:
+    """ids (id) with the current id that at most seven old -> new hops lead to; null if none does: unknown, cyclic or too long.
+
+    Hops are doubled, current ids having none: tables of one, two and four hops, which end early where a chain ends, make seven.
+    """
+    known = current.select("id").distinct()
+    one = merged.select("old_id", "new_id").join(known.withColumnRenamed("id", "old_id"), "old_id", "left_anti")
+    after = lambda df, at, hops: df.join(hops.select(F.col("old_id").alias(at), F.col("new_id").alias("onward")), at, "left").withColumn(at, F.coalesce("onward", at)).drop("onward")
+    two = written(after(one, "new_id", one), "hops")
+    four = written(after(two, "new_id", two), "hops")
+    found = ids.select("id").distinct().withColumn("at", F.col("id"))
+    for hops in (one, two, four):
+        found = after(found, "at", hops)
+    return found.join(known.select(F.col("id").alias("at"), F.col("id").alias("resolved")), "at", "left").select("id", "resolved")
 
 
 def lineage(taxa: DataFrame, parents: DataFrame) -> DataFrame:
-    """(id, ancestor, depth): each id, depth 0, and all its ancestors over parents (id, parent); a root is its own parent."""
-    up = parents.select(F.col("id").alias("ancestor"), "parent").where("ancestor <> parent")
-    level = out = cut(taxa.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")).distinct())
-    while not level.isEmpty():
-        level = cut(level.join(up, "ancestor").select("id", F.col("parent").alias("ancestor"), (F.col("depth") + 1).alias("depth")))
-        out = out.unionByName(level)
-    return out
+    """(id, ancestor, depth): each id, depth 0, and all its ancestors over parents (id, parent); a root is its own parent.
+
+    Jumps are doubled: lines that reach up to 2^k - 1 levels take the jump of 2^k levels, so a depth of d takes log2(d) rounds.
+    Chains of parents must end: a cycle, which no tree has, would never.
+    """
+    jump = parents.select(F.col("id").alias("ancestor"), "parent").where("ancestor <> parent")
+    lines, span = written(taxa.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth")).distinct(), "lines"), 1
+    while True:
+        more = written(lines.join(jump, "ancestor").select("id", F.col("parent").alias("ancestor"), (F.col("depth") + span).alias("depth")), "lines")
+        if more.isEmpty():
+            return lines
+        lines, span = lines.unionByName(more), 2 * span
+        farther = jump.join(jump.select(F.col("ancestor").alias("parent"), F.col("parent").alias("onward")), "parent").select("ancestor", F.col("onward").alias("parent"))
+        last, jump = jump, written(farther, "jumps")
+        released(last)
 
 
 def nearest_of_rank(lines: DataFrame, ranked: DataFrame) -> DataFrame:

@@ -16,6 +16,14 @@ def key_check(requested: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.select("requested", F.when(F.col("known"), "known").when(F.col("hint").isNotNull(), "name").otherwise("unknown").alias("status"), "hint")
 
 
+def find_names(named: DataFrame, fragments: list[str]) -> DataFrame:
+    """kind, key, name, fragment, exact of nodes (kind, key, name) whose name holds one of the fragments asked for, capitals and
+    small letters being alike, or is it: one scan of the names. Fragments are no patterns; an empty one is in every name."""
+    asked, low = F.array(*[F.lit(f) for f in dict.fromkeys(fragments)]), F.lower("name")
+    met = named.withColumn("fragment", F.explode(F.filter(asked, lambda f: F.contains(low, F.lower(f)))))
+    return met.select("kind", "key", "name", "fragment", (low == F.lower("fragment")).alias("exact"))
+
+
 def near_names(asked: DataFrame, names: DataFrame, within: str, least: float = 0.6, most: int = 3) -> DataFrame:
     """For each asked name (within, asked) the nearest names of the same taxon by 1 - edit distance / longer length."""
     longer, shorter = F.greatest(F.length("asked"), F.length("name")), F.least(F.length("asked"), F.length("name"))

@@ -52,7 +52,7 @@ def descriptions_of(curated: DataFrame, archive: DataFrame, methods: DataFrame)
     observed = archive.select(F.lit("").alias("stable_id"), F.lit("HH").alias("kind"), *pair, "pmid", F.col("psimi_id").alias("method_id"))
     hosts = M.precedence(curated.where("kind = 'HH'"), observed, "pmid", columns)
     both = hosts.unionByName(curated.where("kind = 'VH'").select(*columns, F.lit("curated").alias("source")))
-    named = both.join(F.broadcast(methods.select(F.col("id").alias("method_id"), F.col("name").alias("method_name"))), "method_id", "left")
+    named = both.join(methods.select(F.col("id").alias("method_id"), F.col("name").alias("method_name")), "method_id", "left")
     key = F.when(F.col("stable_id") != "", F.col("stable_id")).otherwise(F.concat_ws("|", "a.accession", "b.accession", "pmid", "method_id"))
     return named.withColumn("description_id", key)
 
@@ -79,7 +79,7 @@ def assemble(spark: SparkSession, export: str, given: Prepared) -> tuple[dict[st
     cites = human.select(A.human_ref(F.col("accession")).alias("protein"), F.explode("pmids").alias("pmid")).unionByName(
         viral.select(A.viral_ref(F.col("virus_id"), F.col("name")).alias("protein"), F.explode("pmids").alias("pmid"))
     )
-    wanted = described.select("pmid").unionByName(annotated.select("pmid")).unionByName(cites.select("pmid")).distinct()
+    wanted = A.cited_by_silo(described, annotated, human, viral).select("pmid").distinct()
     publications = M.by_rank(wanted, given.publications, "pmid")
     tables = {
         "human": human.drop("pmids"),

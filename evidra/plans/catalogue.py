@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidra.functions.text import clean, without_citations
 from evidra.operators import archive as R
+from evidra.operators import assemble as A
 from evidra.operators import audit as V
 from evidra.operators import closure as C
 from evidra.operators import graph as G
@@ -161,6 +162,12 @@ def annotation_codes(spark, d):
     return G.annotation_codes(t(spark, d, "lineitem"), ["l_suppkey", "l_partkey", "l_returnflag"], "l_orderkey", "l_linestatus")
 
 
+@query("SELECT l_suppkey, l_partkey, l_returnflag, l_orderkey, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS codes FROM lineitem GROUP BY ALL")
+def annotation_evidence(spark, d):
+    """A row for each publication of an annotation, with its codes."""
+    return G.annotation_evidence(t(spark, d, "lineitem"), ["l_suppkey", "l_partkey", "l_returnflag"], "l_orderkey", "l_linestatus")
+
+
 @query("""WITH c AS (SELECT DISTINCT l_orderkey AS pmid FROM lineitem),
 s AS (SELECT o_orderkey AS pmid, 'host ' || o_orderpriority AS title, 0 AS silo FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'viral ' || o_orderstatus, 1 FROM orders WHERE o_orderkey % 2 = 0)
 SELECT c.pmid, f.title, CAST(f.silo AS INTEGER) AS silo FROM c LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY silo) AS n FROM s) WHERE n = 1) f USING (pmid)""")
@@ -369,6 +376,33 @@ def key_check(spark, d):
     return L.key_check(keys, s.selectExpr("CAST(s_suppkey AS STRING) AS key", "s_name AS name", "s_suppkey AS id"))
 
 
+NAMED = "SELECT 'supplier' AS kind, s_suppkey::BIGINT AS key, s_name AS name FROM supplier UNION ALL SELECT 'customer', c_custkey, c_name FROM customer UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation UNION ALL SELECT 'part', p_partkey, p_name FROM part"
+
+
+@query(f"""WITH f AS (SELECT unnest(['9', 'an', 'Supplier#000000007', 'INDIA', '%']) AS fragment)
+SELECT kind, key, name, fragment, lower(name) = lower(fragment) AS exact FROM ({NAMED}) JOIN f ON contains(lower(name), lower(fragment))""")
+def name_search(spark, d):
+    """Nodes of every kind by their name or a fragment of it."""
+    named = None
+    for kind, key, name in (("supplier", "s_suppkey", "s_name"), ("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"), ("part", "p_partkey", "p_name")):
+        one = t(spark, d, kind).selectExpr(f"'{kind}' AS kind", f"CAST({key} AS LONG) AS key", f"{name} AS name")
+        named = one if named is None else named.unionByName(one)
+    return L.find_names(named, ["9", "an", "Supplier#000000007", "INDIA", "%"])
+
+
+CITED = """SELECT l_orderkey AS pmid, CASE WHEN l_returnflag = 'R' THEN 'viral' ELSE 'host' END AS silo FROM lineitem UNION SELECT l_orderkey + 1, 'host' FROM lineitem WHERE l_linestatus = 'F'
+UNION SELECT o_orderkey + 2, 'host' FROM orders WHERE o_orderkey % 5 = 0 UNION SELECT o_orderkey * 2, 'viral' FROM orders WHERE o_orderkey % 7 = 0"""
+
+
+@query(CITED)
+def cited_by_silo(spark, d):
+    """Publications that each silo cites: of descriptions, annotations and both kinds of texts."""
+    x, o = t(spark, d, "lineitem"), t(spark, d, "orders")
+    texts = lambda where, pmid: o.where(where).selectExpr(f"array({pmid}) AS pmids")
+    rows = x.selectExpr("l_orderkey AS pmid", "if(l_returnflag = 'R', 'VH', 'HH') AS kind"), x.where("l_linestatus = 'F'").selectExpr("l_orderkey + 1 AS pmid")
+    return A.cited_by_silo(*rows, texts("o_orderkey % 5 = 0", "o_orderkey + 2"), texts("o_orderkey % 7 = 0", "o_orderkey * 2"))
+
+
 @query("""WITH q AS (SELECT DISTINCT p_brand AS taxon, lower(p_type) || 's' AS asked FROM part WHERE p_partkey % 50 = 0), n AS (SELECT DISTINCT p_brand AS taxon, p_type AS name FROM part),
 s AS (SELECT q.taxon, asked, name, round(1 - levenshtein(asked, lower(name))::DOUBLE / greatest(length(asked), length(name)), 6) AS similarity FROM q JOIN n USING (taxon)),
 r AS (SELECT *, row_number() OVER (PARTITION BY taxon, asked ORDER BY similarity DESC, name) AS rank FROM s WHERE similarity >= 0.6)
