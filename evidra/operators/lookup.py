@@ -24,10 +24,39 @@ def find_names(named: DataFrame, fragments: list[str]) -> DataFrame:
     return met.select("kind", "key", "name", "fragment", (low == F.lower("fragment")).alias("exact"))
 
 
+def _letters(text: Column) -> Column:
+    """The letters of a text, each with its number among equal ones, so that lists share as many as the texts have in common."""
+    letters = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+    return F.get(F.transform(F.array(letters), lambda x: F.transform(x, lambda c, i: F.concat(c, (i - F.array_position(x, c)).cast("string")))), F.lit(0))
+
+
+def name_prefixes(texts: DataFrame, text: Column, rarity: DataFrame, keys: list[str], edits: Column) -> DataFrame:
+    """keys, token: the edits + 1 rarest letters of each text, by rarity (token, n), one that is in no name being the rarest."""
+    each = texts.select(*keys, F.posexplode(_letters(text)).alias("at", "token"), edits.alias("edits")).drop("at").join(rarity, "token", "left")
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")))
+    first = each.groupBy(*keys).agg(F.slice(order, F.lit(1), F.max("edits") + 1).alias("first"))
+    return first.select(*keys, F.explode("first").alias("x")).select(*keys, "x.token")
+
+
+def near_candidates(asked: DataFrame, names: DataFrame, within: str, least: float = 0.6) -> DataFrame:
+    """within, asked, name of all pairs of one taxon that may be similar enough, each once. Of two texts of which the longer has n
+    letters, k = (1 - least) n edits leave all but k letters in common; lists that share so many of their letters share one of the
+    k + 1 rarest of each. So a text meets only those names that have a rare letter with it, whose lengths fit besides."""
+    edits = lambda n: F.floor((1 - least + 5e-7) * n).cast("int")
+    low = F.lower("name")
+    rarity = names.select(F.explode(_letters(low)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    grown = F.length(low) != F.length("name")  # letters whose small form is longer: such a name is met by all its letters
+    mine = name_prefixes(names.select(within, "name").distinct(), low, rarity, [within, "name"], F.when(grown, F.length(low)).otherwise(edits(F.length("name"))))
+    theirs = name_prefixes(asked.select(within, "asked").distinct(), F.col("asked"), rarity, [within, "asked"], edits(F.length("asked")))
+    longer, shorter = F.greatest(F.length("asked"), F.length("name")), F.least(F.length("asked"), F.length("name"))
+    fits = shorter >= (least - 1e-6) * longer  # the distance is the difference of lengths at least
+    return theirs.join(mine, [within, "token"]).where(fits).select(within, "asked", "name").distinct()
+
+
 def near_names(asked: DataFrame, names: DataFrame, within: str, least: float = 0.6, most: int = 3) -> DataFrame:
     """For each asked name (within, asked) the nearest names of the same taxon by 1 - edit distance / longer length."""
-    longer, shorter = F.greatest(F.length("asked"), F.length("name")), F.least(F.length("asked"), F.length("name"))
-    met = asked.join(names, within).where(shorter >= (least - 1e-6) * longer)  # the distance is the difference of lengths at least
+    longer = F.greatest(F.length("asked"), F.length("name"))
+    met = near_candidates(asked, names, within, least)
     met = met.withColumn("similarity", F.round(1 - F.levenshtein(F.col("asked"), F.lower("name")) / longer, 6)).where(F.col("similarity") >= least)
     rank = F.row_number().over(Window.partitionBy(within, "asked").orderBy(F.desc("similarity"), "name"))
     return met.withColumn("rank", rank).where(F.col("rank") <= most).select(within, "asked", "name", "similarity", "rank")

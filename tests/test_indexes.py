@@ -132,3 +132,28 @@ def test_cited_ids_of_silos(spark):
     lists = lambda *x: df([(list(x),), ([],), (None,)], "pmids array<string>")
     got = A.cited_by_silo(df([("1", "HH"), ("2", "VH"), ("1", "VH")], "pmid string, kind string"), df([("3",), ("3",)], "pmid string"), lists("4", "2"), lists("5", "4"))
     assert sorted(tuple(r) for r in got.collect()) == [("1", "host"), ("1", "viral"), ("2", "host"), ("2", "viral"), ("3", "host"), ("4", "host"), ("4", "viral"), ("5", "viral")]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(last + (x != y), row[j] + 1, row[j + 1] + 1)
+    return row[-1]
+
+
+def test_near_names_meet_few_and_miss_none(spark):
+    rng = random.Random(6)
+    parts = ["poly", "merase", "core", "capsid", "Spike", "glyco", "protein", "NS", "1", "2A", "X", "nucleo", "matrix", "-", " ", "E7", "É", "İ"]
+    names = sorted({(t, "".join(rng.choices(parts, k=rng.randrange(1, 5)))) for t in range(3) for _ in range(60)})
+    asked = sorted({(t, "".join(c for c in n.lower() if rng.random() < 0.9) + rng.choice(["", "s", "xx"])) for t, n in rng.sample(names, 60)} | {(0, ""), (9, "core")})
+    similar = lambda a, n: round(1 - distance(a, n.lower()) / max(len(a), len(n)), 6)
+    pairs = {(t, a, n) for t, a in asked for u, n in names if t == u}
+    want = {p for p in pairs if similar(*p[1:]) >= 0.6}
+    frames = spark.createDataFrame(asked, "taxon long, asked string"), spark.createDataFrame(names, "taxon long, name string")
+    met = [tuple(r) for r in L.near_candidates(*frames, "taxon").collect()]
+    assert len(met) == len(set(met)) and want <= set(met) <= pairs and len(met) < 0.7 * len(pairs)
+    got = sorted(tuple(r)[:4] for r in L.near_names(*frames, "taxon").collect())
+    best = [sorted(((-similar(a, n), n) for t2, a2, n in want if (t2, a2) == (t, a)))[:3] for t, a in asked]
+    assert got == sorted((t, a, n, -s) for (t, a), b in zip(asked, best) for s, n in b)
