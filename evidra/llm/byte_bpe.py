@@ -137,17 +137,20 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(ranks, pattern)
+        bpe, on = codec(ranks, pattern), gc.isenabled()
         gc.disable()
-        for batch in (part for whole in batches for part in _batches(whole)):
-            coded = bpe.encode([t or "" for t in batch.column("text").to_pylist()])
-            decoded = [bpe.decode(np.frombuffer(x, "<u4")) for x in coded]
-            sha = [[hashlib.sha256(x).hexdigest() for x in side] for side in (coded, decoded)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) // 4 for x in coded], pa.int64()), *map(pa.array, sha)],
-                schema=pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]),
-            )
-        gc.enable()
+        try:
+            for batch in (part for whole in batches for part in _batches(whole)):
+                coded = bpe.encode([t or "" for t in batch.column("text").to_pylist()])
+                decoded = [bpe.decode(np.frombuffer(x, "<u4")) for x in coded]
+                sha = [[hashlib.sha256(x).hexdigest() for x in side] for side in (coded, decoded)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([len(x) // 4 for x in coded], pa.int64()), *map(pa.array, sha)],
+                    schema=pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]),
+                )
+        finally:  # workers live on, whether this ends, fails or is read in part
+            if on:
+                gc.enable()
 
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, out)

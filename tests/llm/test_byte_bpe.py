@@ -35,3 +35,44 @@ def test_offsets_and_split_characters(spark):
     assert any(len(r.ids) > len(ODD[i]) for i, r in rows.items() if ODD[i])  # characters of several tokens
     assert all(r.byte_offsets[:1] == ([0] if ODD[i] else []) for i, r in rows.items())
     assert {r.doc_id: r.decoded_text for r in B.decode(coded, PATH, P.PATTERN).collect()} == {i: t or "" for i, t in enumerate(ODD)}
+
+
+def test_repeated_rows_clashing_columns_and_empty_tables(spark):
+    rows = [(1, "same text", 5, "x"), (1, "same text", 5, "x"), (None, None, 6, "y"), (2, "word " * 200_000, 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, ids_sha256 string")
+    got = sorted((r.doc_id or 0, r.n_tokens, r.decoded_sha256) for r in B.round_trip(docs, PATH, P.PATTERN).collect())
+    enc = plain()
+    assert got == sorted((i or 0, len(enc.encode_ordinary(t or "")), hashlib.sha256((t or "").encode()).hexdigest()) for i, t, *_ in rows)
+    assert B.round_trip(docs.limit(0), PATH, P.PATTERN).collect() == [] and B.encode(docs.limit(0), PATH, P.PATTERN).collect() == []
+
+
+def test_the_garbage_collector_is_on_again_after_an_error():
+    """A reused worker must not keep it off: the function of batches is run here as a worker would, up to a batch that fails."""
+    import gc
+
+    class Docs:
+        sparkSession = None
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    run, ship, B.ship = None, B.ship, lambda spark: None
+    column, B.F.col = B.F.col, lambda name: type("C", (), {"cast": lambda s, t: s, "alias": lambda s, n: s})()
+    try:
+        run = B.round_trip(Docs(), PATH, P.PATTERN)
+    finally:
+        B.ship, B.F.col = ship, column
+    import pyarrow as pa
+    import pytest
+
+    good = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b"])], names=["doc_id", "text"])
+    with pytest.raises(Exception):
+        list(run(iter([good, pa.RecordBatch.from_arrays([pa.array([1])], names=["doc_id"])])))
+    assert gc.isenabled()
+    some = run(iter([good, good]))
+    next(some)
+    some.close()
+    assert gc.isenabled()
