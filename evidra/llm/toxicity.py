@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidra.llm.common import lean, ship, stored, table, with_columns
+from evidra.llm.common import by_bytes, lean, ship, stored, table, with_columns
 
 #: At most about this many labelled documents are learned from.
 TRAIN_ROWS = 20_000
@@ -103,7 +103,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"))  # one row a doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, most=1 << 20):  # the words of a slice take some fifty times its bytes
             words = [sorted(features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "grade", "words"])
 

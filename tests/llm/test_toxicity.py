@@ -72,3 +72,14 @@ def test_edges(spark):
     assert all(r.severity == 0 and not r.toxic for r in T.score(docs, model).collect())
     assert T.score(docs.limit(0), T.Model({"bad": 5.0}, [1.0])).count() == 0
     assert [r.grade for r in T.score(docs, T.Model({"bad": 5.0}, [1.0, 9.0])).collect()] == [0, 0, 0, 1]
+
+
+def test_slices_of_texts_do_not_change_what_is_learned(spark):
+    """Very long texts, and slices of one text each, teach the same model."""
+    rows = [(i, ("vile words hurt " if i % 3 == 0 else "kind words help ") * (20_000 if i in (3, 4) else 1) + f"text{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, grade int")
+    model = T.learn(docs, labels)
+    assert T.Model(model.weights, model.thresholds).severity("vile hurt")[2] == 1 and model.severity("kind help " * 100_000)[2] == 0
+    again = T.learn(docs.repartition(3), labels)
+    assert again.weights.keys() == model.weights.keys() and all(abs(again.weights[w] - model.weights[w]) < 1e-9 for w in model.weights)
