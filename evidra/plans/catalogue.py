@@ -52,9 +52,8 @@ def vh_observations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hh_observations(spark: SparkSession, d: str) -> DataFrame:
-    """Unordered pairs of suppliers of one order, a supplier with itself included; an order has few of them."""
-    s = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("publication"), F.col("l_suppkey").alias("s")).distinct()
-    return s.withColumnRenamed("s", "a").join(s.withColumnRenamed("s", "b"), "publication").where("a <= b").select("publication", "a", "b")
+    """Unordered pairs of suppliers of one order, a supplier with itself included."""
+    return G.pairs_within(t(spark, d, "lineitem").select(F.col("l_orderkey").alias("publication"), "l_suppkey"), "publication", "l_suppkey")
 
 
 def paths(d: str, *names: str) -> list[str]:

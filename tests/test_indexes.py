@@ -115,6 +115,15 @@ def test_only_hubs_are_dealt_out(spark):
         assert {(r.protein, r.target): r.n_paths for r in G.two_hop(frame, seeds, hub).collect()} == want
 
 
+def test_pairs_of_large_groups_are_dealt_out(spark):
+    rng = random.Random(1)
+    rows = [(g, rng.randrange(80)) for g, n in ((0, 70), (1, 5), (2, 1)) for _ in range(n)]
+    want = sorted((g, a, b) for g in (0, 1, 2) for a in {m for h, m in rows if h == g} for b in {m for h, m in rows if h == g} if a <= b)
+    frame = spark.createDataFrame(rows, "g long, m long")
+    for hub in (3, 30, 10_000):
+        assert sorted(tuple(r) for r in G.pairs_within(frame, "g", "m", hub).collect()) == want
+
+
 def test_rows_that_stay_and_reasons_of_the_others(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", ["x"]), (2, None, []), (3, "c", None)], "id long, v string, l array<string>")
     kept, counts = split(rows, F.when(F.col("id") == 2, "two"), "test")
