@@ -103,3 +103,39 @@ def test_copies_crowd_nothing_out(spark):
     for q, own in ((0, x[0]), (39, x[39]), (3000, x[0])):
         order = np.lexsort((ids, np.sqrt(((at - own) ** 2).sum(1))))
         assert got[q] == [i for i in ids[order].tolist() if i != q][:10], q
+
+
+def test_exact_where_codes_fit_badly(spark):
+    """Many components without structure, sizes that differ by magnitudes, tight groups far apart, and ties of nearly all."""
+    rng = np.random.default_rng(17)
+    n = 3000
+    groups = rng.normal(size=(6, 16)) * 1e6
+    kinds = {
+        "many components": rng.normal(size=(n, 256)),
+        "sizes": rng.normal(size=(n, 16)) * np.exp(4 * rng.normal(size=(n, 1))),
+        "groups": groups[rng.integers(0, 6, n)] + 1e-3 * rng.normal(size=(n, 16)),
+        "far off": 1e8 + rng.normal(size=(n, 16)),
+        "ties": np.eye(48)[rng.integers(0, 48, n)] * rng.integers(1, 40, (n, 1)),
+    }
+    for kind, x in kinds.items():
+        frame = spark.createDataFrame([(k, x[k].tolist()) for k in range(n)], COLUMNS)
+        got: dict[int, list] = {}
+        for r in A.nearest(frame, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == {q: [i for i, _ in brute(np.arange(n), x, q, q)] for q in range(0, n, 100)}, kind
+
+
+def test_rows_of_a_querys_own_id_take_no_place(spark):
+    """One id on 400 vectors next to a query of that id, whose nearest others are farther off than all of them."""
+    rng = np.random.default_rng(4)
+    near, other = rng.normal(size=(400, 4)) * 0.01, rng.normal(size=(300, 4)) + 5
+    rows = [(100, v.tolist()) for v in near] + [(k + 1000, v.tolist()) for k, v in enumerate(other)] + [(7, near[3].tolist())]
+    got: dict[tuple, list] = {}
+    found = A.nearest(spark.createDataFrame(rows, COLUMNS), F.col("vec_id") == 100).collect()
+    assert len(found) == 4000 and all(r.vec_id != 100 for r in found)
+    assert sum(r.vec_id == 7 and r.rank == 1 for r in found) == 400
+    for r in found:
+        got.setdefault((r.rank,), []).append(r.score)
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    want = [[d for _, d in brute(ids, x, q, 100)] for q in range(400)]
+    assert all(np.allclose(sorted(got[k + 1,]), sorted(w[k] for w in want), rtol=1e-12) for k in range(10))
