@@ -1,7 +1,6 @@
 """Language identification by rank-order profiles.
 
-A language's profile holds its most frequent character n-grams (n = 1, 2, 3) by rank, counted over a bounded sample of
-labelled documents. A document's own most frequent n-grams are compared with each profile: an n-gram counts the difference
+A language's profile holds its most frequent character n-grams (n = 1, 2, 3) by rank, counted over all labelled documents. A document's own most frequent n-grams are compared with each profile: an n-gram counts the difference
 of its two ranks, or the profile's size where it is missing there (the out-of-place distance). The language of least
 distance wins, the alphabetically first on a tie.
 
@@ -22,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidra.llm.common import lean, ship, table, with_columns
+from evidra.llm.common import by_bytes, lean, ship, table, with_columns
 
 #: N-grams in a profile, and of a document.
 PROFILE = 300
-#: About this many documents of each language are learned from, chosen by a hash of doc_id.
-SAMPLE_PER_LANGUAGE = 3000
+#: Scores are counted by so many steps, and a bound is the lower end of its step.
+STEPS = 10_000
 #: Of a language's learned documents the share LOW scores under a bound; a text of its language scores MARGIN times that or
 #: more. In the given documents the bounds are 0.508 to 0.569, so 0.22 to 0.26 is asked for: random Latin letters of 20 words and more scored
 #: 0.221 at most, documents 0.366 and more, a single word of the documents 0.291 and more. A random word or a few can pass.
@@ -52,12 +51,17 @@ def coded(text: str) -> np.ndarray:
     return x[~(space & np.concatenate([[False], space[:-1]]))]
 
 
-def grams(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of coded text as numbers whose order is length, then code points, and their counts."""
+def every_gram(x: np.ndarray) -> np.ndarray:
+    """N-grams of coded text as numbers whose order is length, then code points."""
     one = x[x != 32]
     two = (x[:-1] + 1) * BASE + x[1:]
     three = ((x[:-2] + 1) * BASE + x[1:-1]) * BASE + x[2:]
-    return np.unique(np.concatenate([one, two, three]), return_counts=True)
+    return np.concatenate([one, two, three])
+
+
+def grams(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of coded text and their counts."""
+    return np.unique(every_gram(x), return_counts=True)
 
 
 def top(ids: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
@@ -69,31 +73,21 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def sampled(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """lang and text of the documents (doc_id, text, lang) that are learned from."""
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    share = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    # a row a language, as the profiles are that come to the driver below: the texts don't move
-    return known.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("lang", "text")
-
-
-def learn(docs: DataFrame, size: int = PROFILE, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, np.ndarray]:
-    """Profiles from documents (doc_id, text, lang) whose text and lang aren't null."""
+def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
+    """Profiles from all documents (doc_id, text, lang) whose text and lang aren't null."""
     ship(docs.sparkSession)
-    sample = sampled(docs, per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, dict[int, int]] = {}
-        for batch in batches:
+        for batch in by_bytes(batches, most=1 << 18):  # the n-grams of a slice take some fifty times its bytes
+            found: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                own = found.setdefault(lang, {})
-                for g, n in zip(*(a.tolist() for a in grams(coded(text)))):
-                    own[g] = own.get(g, 0) + n
-        for lang, own in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.int64())], names=["lang", "gram", "n"])
+                found.setdefault(lang, []).append(every_gram(coded(text)))
+            for lang, parts in found.items():
+                own, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own), pa.array(n)], names=["lang", "gram", "n"])
 
-    counts = sample.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
+    counts = labelled.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     rows = counts.select("lang", "gram", rank.alias("rank")).where(F.col("rank") <= size).orderBy("lang", "rank").collect()  # size rows a language
     profiles: dict[str, list[int]] = {}
@@ -134,19 +128,31 @@ def judged(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE
     return with_columns(docs, "lang_pred string, score double", compute)
 
 
-def least_scores(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, float]:
-    """The score that a text of each language must reach, from those of the documents learned from."""
-    scored = judged(sampled(docs, per_language), profiles, size).where(F.col("lang_pred") != UNKNOWN)
-    low = scored.groupBy("lang").agg((F.percentile_approx("score", LOW) * MARGIN).alias("least"))
-    return {r["lang"]: r["least"] for r in low.collect()}  # a row a language
+def least_of(scored: DataFrame) -> dict[str, float]:
+    """The score that a text of each language must reach, from all rows of judged that have a lang."""
+    steps = scored.where((F.col("lang_pred") != UNKNOWN) & F.col("lang").isNotNull()).groupBy("lang", F.floor(F.col("score") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("lang")  # STEPS rows a language at most
+    up_to = F.sum("n").over(own.orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
+    low = steps.withColumns({"up_to": up_to, "all": F.sum("n").over(own)}).where(F.col("up_to") >= F.col("all") * LOW).groupBy("lang").agg(F.min("step").alias("step"))
+    return {r["lang"]: r["step"] / STEPS * MARGIN for r in low.collect()}  # a row a language
 
 
-def known(docs: DataFrame, profiles: dict[str, np.ndarray], least: dict[str, float], size: int = PROFILE) -> DataFrame:
-    """Documents of judged whose score reaches that of their predicted language."""
+def least_scores(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> dict[str, float]:
+    """least_of documents (doc_id, text, lang)."""
+    return least_of(judged(docs.select("text", "lang"), profiles, size))
+
+
+def reached(scored: DataFrame, least: dict[str, float]) -> DataFrame:
+    """Rows of judged whose score reaches that of their predicted language."""
     bound = F.lit(None).cast("double")
     for lang, score in least.items():
         bound = F.when(F.col("lang_pred") == lang, F.lit(score)).otherwise(bound)
-    return judged(docs, profiles, size).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound))
+    return scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound))
+
+
+def known(docs: DataFrame, profiles: dict[str, np.ndarray], least: dict[str, float], size: int = PROFILE) -> DataFrame:
+    """Documents of judged whose score reaches that of their predicted language."""
+    return reached(judged(docs, profiles, size), least)
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:

@@ -29,3 +29,31 @@ def test_edges_and_out_of_place_distance(spark):
     a, b = plain("the dog", None), plain("the cat and the dog", None)
     away = sum(min(abs(i - b.index(g)), 300) if g in b else 300 for i, g in enumerate(a))
     assert abs(got[None][1] - (1 - away / (300 * len(a)))) < 1e-12
+
+
+def test_profiles_and_bounds_come_from_all_documents(spark):
+    """9000 documents of one language, more than were once learned from: counts and bounds are those of plain code over all."""
+    import random
+    from collections import Counter
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(1, 6))) for _ in range(rng.randint(1, 9))) for _ in range(9000)]
+    texts += [chr(0x430 + k) * 40 for k in range(9)]  # nine odd ones, whose letters nothing else has
+    docs = spark.createDataFrame([(k, text, "en") for k, text in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    counts: Counter = Counter()
+    for text in texts:
+        s = f" {text} "
+        counts.update(s[i : i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1) if s[i : i + n] != " ")
+
+    def number(g):
+        found = ord(g[0]) + (len(g) > 1)
+        for c in g[1:]:
+            found = found * L.BASE + ord(c)
+        return found
+
+    profiles = L.learn(docs)
+    want = [number(g) for g in sorted(counts, key=lambda g: (-counts[g], len(g), g))[: L.PROFILE]]
+    assert profiles["en"].tolist() == want
+    ranker = L.Ranker(profiles, L.PROFILE)
+    scores = sorted(ranker.predict(t)[1] for t in texts)
+    at = next(s for k, s in enumerate(scores, 1) if k >= L.LOW * len(scores))
+    assert L.least_scores(docs, profiles) == {"en": int(at * L.STEPS) / L.STEPS * L.MARGIN}
